@@ -14,38 +14,34 @@ from pyspark.sql import functions as F
 
 TARGET_CELLS = 1 << 18
 
-
 BEFORE = "rows between unbounded preceding and 1 preceding"
 
 
-def number_timestamps(axis: DataFrame, ts: str = "ts") -> DataFrame:
-    """(ts, ord): each distinct timestamp with its rank from 0.
+def store_in_order(rows: DataFrame, path: str, order: str) -> DataFrame:
+    """Write rows sorted by a unique column and read them back with ``ord``, from 0.
 
-    Cells are calendar seconds inside calendar days. A second holds at most
-    10^6 timestamps (the resolution of the type), a day 86,400 seconds, and
-    the table of days is one row per date, so every step has a fixed bound.
+    Range partitioning spreads the sort; ``monotonically_increasing_id`` names a
+    row by write task and place in it, and the file keeps that name for good. The
+    tasks' row counts, one per write task, are all that has to be summed up.
     """
-    seconds = axis.groupBy(F.expr(f"date_trunc('second', {ts}) as _second")).agg(
-        F.expr(f"array_sort(collect_set({ts})) as _members")
-    )
-    counts = seconds.selectExpr(
-        "_second", "to_date(_second) as _day", "cast(size(_members) as bigint) as _n"
+    (
+        rows.repartitionByRange(order)
+        .sortWithinPartitions(order)
+        .withColumn("_at", F.monotonically_increasing_id())
+        .write.parquet(path)
     )
-    days = (
-        counts.groupBy("_day")
-        .agg(F.expr("sum(_n) as _total"))
-        .selectExpr("_day", f"coalesce(sum(_total) over (order by _day {BEFORE}), 0L) as _earlier")
+    schema = rows.withColumn("_at", F.lit(0).cast("bigint")).schema
+    kept = rows.sparkSession.read.schema(schema).parquet(path).withColumn(
+        "_task", F.expr("shiftright(_at, 33)")
     )
-    in_day = f"coalesce(sum(_n) over (partition by _day order by _second {BEFORE}), 0L)"
     offsets = (
-        counts.selectExpr("_second", "_day", f"{in_day} as _in_day")
-        .join(days, "_day")
-        .selectExpr("_second", "_earlier + _in_day as _offset")
+        kept.groupBy("_task")
+        .agg(F.expr("count(1) as _n"))
+        .selectExpr("_task", f"coalesce(sum(_n) over (order by _task {BEFORE}), 0L) as _offset")
     )
-    return (
-        seconds.join(offsets, "_second")
-        .selectExpr("_offset", f"posexplode(_members) as (_pos, {ts})")
-        .selectExpr(ts, "_offset + _pos as ord")
+    # one row per write task, so it is always small enough to broadcast
+    return kept.join(F.broadcast(offsets), "_task").selectExpr(
+        *rows.columns, "_offset + (_at & 8589934591L) as ord"
     )
 
 

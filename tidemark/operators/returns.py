@@ -96,6 +96,38 @@ def latest_by_symbol(panel: Panel, value: str = "value") -> DataFrame:
     return newest.long(value)
 
 
+def latest_zscore(
+    panel: Panel, *, window: int = 60, eps: float = 1e-12, strict: bool = False
+) -> DataFrame:
+    """(symbol, ts, value): z-score of the newest row against the last ``window`` rows.
+
+    Equals the newest row of ``rolling_zscore`` but reads one frame only. No
+    rows when the panel is shorter than the window.
+    """
+    if window < 2:
+        raise ValueError("window must be >= 2")
+    if strict:
+        _require_rows(panel, window, "a rolling z-score")
+    found = (
+        Panel(panel.last_rows(window), panel.symbols)
+        .cells("x")
+        .groupBy("pos")
+        .agg(
+            F.expr("max(ts) as ts"),
+            F.expr("max_by(x, ord) as x"),
+            F.expr("avg(x) as _mean"),
+            F.expr("stddev_pop(x) as _sd"),
+            F.expr("count(x) as _n"),
+            F.expr("count(1) as _rows"),
+        )
+        .where(F.col("_rows") == window)
+    )
+    z = f"(x - _mean) / {_guarded('_sd', eps)}"
+    return found.select(
+        panel.symbol_at().alias("symbol"), "ts", F.expr(f"if(_n = {window}, {z}, null) as value")
+    )
+
+
 def scaler_params(panel: Panel, *, window: int = 60, eps: float = 1e-9) -> DataFrame:
     """(symbol, mean, scale) over the last ``window`` rows; (0, 1) if there are fewer."""
     last = Panel(panel.last_rows(window), panel.symbols)

@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import finite_or_null
-from tidemark.operators.ordinals import number_timestamps
+from tidemark.operators.ordinals import store_in_order
 from tidemark.schemas import require_time
+from tidemark.session import work_dir
 
 
 def ordered_unique(symbols: Iterable[str]) -> tuple[str, ...]:
@@ -61,6 +62,16 @@ class Panel:
     def with_rows(self, rows: DataFrame) -> Panel:
         return replace(self, rows=rows.select("ts", "ord", "values"))
 
+    def stored(self, label: str = "panel") -> Panel:
+        """The same panel, written once to the shared working folder and read back.
+
+        Operators read their input more than once, so a chain of them should not
+        hang on one long lineage. The written rows also outlive lost executors.
+        """
+        path = work_dir(self.spark, label)
+        self.rows.write.parquet(path)
+        return self.with_rows(self.spark.read.schema(self.rows.schema).parquet(path))
+
     def symbol_at(self, pos: str = "pos") -> Column:
         """The symbol in the slot that column ``pos`` names."""
         return F.expr(f"{text_array(self.symbols)}[{pos}]")
@@ -109,6 +120,9 @@ def densify(
     with the highest ``order``, or to the largest value when there is no order.
     The timestamps are those of any universe symbol, including rows whose value
     is missing. NaN and infinities count as missing.
+
+    The input is read once, now: the rows are written in time order to the
+    shared working folder, which is also what gives them their numbers.
     """
     require_time(df, ts)
     names = ordered_unique(symbols)
@@ -129,5 +143,5 @@ def densify(
     wide = cells.groupBy("ts").pivot("pos", list(range(len(names)))).agg(F.max("_value"))
     slots = ", ".join(f"`{i}`" for i in range(len(names)))
     rows = wide.selectExpr("ts", f"array({slots}) as values")
-    index = number_timestamps(placed.select("ts"))
-    return Panel(rows.join(index, "ts").select("ts", "ord", "values"), names)
+    numbered = store_in_order(rows, work_dir(df.sparkSession, "rows"), "ts")
+    return Panel(numbered.select("ts", "ord", "values"), names)

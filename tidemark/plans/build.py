@@ -21,21 +21,25 @@ def build_panel(
     window: int = 60,
     low_threshold: float = 0.3,
     require_healthy: bool = False,
+    store: bool = True,
 ) -> dict[str, Panel | DataFrame]:
     """clean -> fill -> returns -> z-scores -> correlation, from tidy prices.
 
-    Lazy apart from the replacement table, which has at most one row per
-    primary. The z-score panel feeds several results; write it once
-    (``sinks.write_run``) when more than one of them is needed at scale.
+    The replacement table, at most one row per primary, is read on the way.
+    ``store`` writes each intermediate panel once to the shared working folder;
+    without it the results are one lazy plan each, all from the prices up.
     """
+    def settled(panel: Panel, label: str) -> Panel:
+        return panel.stored(label) if store else panel
+
     first = ordered_unique(primaries)
-    raw = densify(prices, [*first, *reserves])
+    raw = settled(densify(prices, [*first, *reserves]), "prices")
     clean, replacements = replace_zombies(
         raw, first, reserves, threshold=threshold, require_healthy=require_healthy
     )
-    filled = fill_gaps(clean)
-    returns = log_returns(filled)
-    scores = rolling_zscore(returns, window=window)
+    filled = settled(fill_gaps(clean), "filled")
+    returns = settled(log_returns(filled), "returns")
+    scores = settled(rolling_zscore(returns, window=window), "zscores")
     pairs = correlation(scores)
     return {
         "prices": filled,

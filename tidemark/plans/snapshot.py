@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.operators.bars import close_panel
 from tidemark.operators.factors import explained_variance, residual_zscore
-from tidemark.operators.returns import latest_by_symbol, log_returns, rolling_zscore
+from tidemark.operators.returns import latest_zscore, log_returns, rolling_zscore
 from tidemark.panel import Panel, ordered_unique
 
 
@@ -22,19 +22,20 @@ def live_snapshot(
     """Close panel of the last ``lookback`` returns and everything derived from it.
 
     ``lookback`` returns need one more close. The factor shares are those of
-    the last ``z_window`` z-scores.
+    the last ``z_window`` z-scores. The close, return and z-score panels are written
+    once to the shared working folder, since several results read them.
     """
     if lookback < z_window:
         raise ValueError("lookback must be >= z_window")
     names = ordered_unique(universe)
-    closes = close_panel(bar_log, names, lookback + 1)
-    returns = log_returns(closes)
-    scores = rolling_zscore(returns, window=z_window, eps=1e-12, drop_partial=True)
+    closes = close_panel(bar_log, names, lookback + 1).stored("closes")
+    returns = log_returns(closes).stored("returns")
+    scores = rolling_zscore(returns, window=z_window, eps=1e-12, drop_partial=True).stored("zscores")
     return {
         "close": closes,
         "log_returns": returns,
         "zscores": scores,
-        "latest_zscore": latest_by_symbol(scores, "zscore"),
+        "latest_zscore": latest_zscore(returns, window=z_window),
         "latest_residual_zscore": residual_zscore(returns, window=lookback, factors=1),
         "explained_variance": explained_variance(
             scores, window=z_window, n_components=min(pca_components, len(names))

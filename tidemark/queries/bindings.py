@@ -29,8 +29,8 @@ def r6(column: str | Column) -> Column:
 
 
 def _mean_price(value: str) -> Column:
-    """Mean over exact decimals, so that it does not depend on the order of rows."""
-    return F.expr(f"cast(sum(cast({value} as decimal(18,2))) as double) / count(1)").alias("price")
+    """Mean over whole cents, so that it does not depend on the order of rows."""
+    return F.expr(f"sum(floor({value} * 100 + 0.5D)) / 100D / count(1)").alias("price")
 
 
 def brand_prices(spark: SparkSession, sf_dir: str, grain: str = "week") -> DataFrame:
@@ -76,7 +76,7 @@ def one_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def brand_prices_sql(grain: str = "week") -> str:
     return f"""prices AS (
   SELECT p_brand AS symbol, CAST(date_trunc('{grain}', l_shipdate) AS TIMESTAMP) AS ts,
-         CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS price
+         CAST(SUM(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100 / COUNT(*) AS price
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
 uni AS (SELECT 'Brand#' || i AS symbol, i - 1 AS pos FROM range(1, 26) t(i)),"""
 
@@ -85,7 +85,7 @@ def segment_prices_sql() -> str:
     values = ", ".join(f"('{s}', {i})" for i, s in enumerate(SEGMENTS))
     return f"""prices AS (
   SELECT c_mktsegment AS symbol, CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS ts,
-         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS price
+         CAST(SUM(CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100 / COUNT(*) AS price
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
 uni AS (SELECT * FROM (VALUES {values}) v(symbol, pos)),"""
 

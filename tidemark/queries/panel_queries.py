@@ -16,6 +16,7 @@ from tidemark.operators.cleaning import (
 from tidemark.operators.correlation import correlation, correlation_outliers
 from tidemark.operators.returns import (
     latest_by_symbol,
+    latest_zscore,
     log_returns,
     rolling_zscore,
     rolling_zscore_cells,
@@ -143,10 +144,13 @@ def zscores_full_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = rolling_zscore(
-        weekly_returns(spark, sf_dir), window=WINDOW, eps=1e-12, drop_partial=True
+    return latest_zscore(weekly_returns(spark, sf_dir), window=WINDOW).withColumn(
+        "value", b.r6("value")
     )
-    return latest_by_symbol(panel).withColumn("value", b.r6("value"))
+
+
+def newest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_by_symbol(weekly(spark, sf_dir), "price")
 
 
 def scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,6 +257,7 @@ QUERIES = {
     "rolling_zscore": zscores,
     "rolling_zscore_full_frames": zscores_full_frames,
     "latest_zscore": latest,
+    "latest_by_symbol": newest_row,
     "scaler_params": scaler,
     "correlation_matrix": correlation_matrix,
     "correlation_square": correlation_square,
@@ -405,6 +410,10 @@ SELECT d.symbol, d.ts, w.ord, d.price FROM dense d JOIN whole w ON d.ts = w.ts""
         select=f"""SELECT symbol, ts, round(value, 6) + 0.0 AS value FROM z
 WHERE ord = (SELECT max(ord) FROM z WHERE ord >= {WINDOW - 1})""",
     ),
+    "latest_by_symbol": _with(
+        _WEEK,
+        select="SELECT symbol, ts, price FROM dense WHERE ts = (SELECT max(ts) FROM prices)",
+    ),
     "scaler_params": _with(
         _WEEK_RET,
         select=f"""SELECT symbol, round(CASE WHEN count(*) < {WINDOW} THEN 0.0 ELSE avg(value) END, 6) + 0.0 AS mean,

@@ -51,6 +51,8 @@ def work_dir(spark: SparkSession, label: str) -> str:
     global _own_dir
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _own_dir is None:
             _own_dir = tempfile.mkdtemp(prefix="tidemark-")
         base = _own_dir
