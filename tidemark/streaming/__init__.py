@@ -1,7 +1,7 @@
 """Structured Streaming: bars, retention, compaction and the event log."""
 
 from tidemark.streaming.bars import stream_bars
-from tidemark.streaming.exact import ExactBarWriter, read_exact_bars
+from tidemark.streaming.exact import ExactBarWriter, read_exact_bars, read_late_ticks
 from tidemark.streaming.stateful import stream_bars_stateful
 from tidemark.streaming.writers import compaction_writer, event_writer, retention_writer
 
@@ -10,6 +10,7 @@ __all__ = [
     "compaction_writer",
     "event_writer",
     "read_exact_bars",
+    "read_late_ticks",
     "retention_writer",
     "stream_bars",
     "stream_bars_stateful",

@@ -92,6 +92,19 @@ class ExactBarWriter:
         return spark.read.schema(_PARTIAL).parquet(f"{self.path}/open/batch={batch_id}")
 
 
+def _written(spark: SparkSession, path: str, flush_batch: int | None) -> DataFrame:
+    """Rows of finished bars and of late ticks; with ``flush_batch`` the open bars too."""
+    try:
+        rows = spark.read.schema(_PARTIAL + ", batch int").parquet(f"{path}/bars").drop("batch")
+    except AnalysisException:
+        rows = spark.createDataFrame([], _PARTIAL)
+    if flush_batch is not None:
+        rows = rows.unionByName(
+            spark.read.schema(_PARTIAL).parquet(f"{path}/open/batch={flush_batch}")
+        )
+    return rows
+
+
 def read_exact_bars(
     spark: SparkSession,
     path: str,
@@ -102,20 +115,15 @@ def read_exact_bars(
 ) -> DataFrame:
     """The finished bars; with ``flush_batch`` also the bars open after that batch.
 
-    Ticks found late after their bar was written add to its late count only.
+    ``late_ticks`` counts the ticks that came too late for the bar.
     """
-    try:
-        rows = spark.read.schema(_PARTIAL + ", batch int").parquet(f"{path}/bars")
-    except AnalysisException:
-        rows = spark.createDataFrame([], _PARTIAL + ", batch int")
-    rows = rows.drop("batch")
-    if flush_batch is not None:
-        rows = rows.unionByName(
-            spark.read.schema(_PARTIAL).parquet(f"{path}/open/batch={flush_batch}")
+    bars = (
+        _written(spark, path, flush_batch)
+        .groupBy(*_KEYS, "bar_start")
+        .agg(
+            F.expr("min_by(struct(open, high, low, close, size), first_seq) as b"),
+            F.expr("sum(late) as late_ticks"),
         )
-    bars = rows.groupBy(*_KEYS, "bar_start").agg(
-        F.expr("min_by(struct(open, high, low, close, size), first_seq) as b"),
-        F.expr("sum(late) as late_ticks"),
     )
     return bars.where("b is not null").select(
         "symbol",
@@ -129,3 +137,8 @@ def read_exact_bars(
         "source",
         "late_ticks",
     )
+
+
+def read_late_ticks(spark: SparkSession, path: str, *, flush_batch: int | None = None) -> DataFrame:
+    """(source, symbol, late_ticks): all dropped ticks, also those of bars that never were."""
+    return _written(spark, path, flush_batch).groupBy(*_KEYS).agg(F.sum("late").alias("late_ticks"))
