@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import from_fixed, to_fixed
+from tidemark.functions import from_fixed, row_json, to_fixed
 from tidemark.operators.bars import (
     backfill_bars,
     bar_gaps,
@@ -21,6 +21,7 @@ from tidemark.operators.bars import (
 from tidemark.operators.quality import store_freshness
 from tidemark.queries import bindings as b
 from tidemark.queries.panel_queries import _with
+from tidemark.schemas import BAR
 from tidemark.session import work_dir
 from tidemark.sinks.bar_store import persist_bars
 from tidemark.sources.files import parse_bar_log, read_bar_store
@@ -131,6 +132,22 @@ def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _backfill(_minute(spark, sf_dir))
 
 
+def backfill_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store of two layouts: scaled prices for some symbols, doubles for the others."""
+    built = bars(b.one_feed(spark, sf_dir), floats=True)
+    scaled = built.where("symbol < 'p'").drop("open", "high", "low", "close")
+    doubles = built.where("symbol >= 'p'").drop(*[f"{c}_fixed" for c in ("open", "high", "low", "close")])
+    return _backfill(scaled.unionByName(doubles, allowMissingColumns=True))
+
+
+def json_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars written as JSON objects and parsed again."""
+    minute = _minute(spark, sf_dir)
+    written = minute.select(row_json(minute.columns).alias("message"))
+    fields = BAR.simpleString().removesuffix(">") + ",seq:bigint>"
+    return written.select(F.from_json("message", fields).alias("m")).select("m.*")
+
+
 def backfill_per_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each symbol from the last of its live bars on; live bars stop at the outage."""
     minute = _minute(spark, sf_dir)
@@ -189,6 +206,8 @@ QUERIES = {
     "text_bars_rejected": text_bars_rejected,
     "store_freshness": freshness,
     "backfill_bars": backfill,
+    "backfill_mixed_store": backfill_mixed,
+    "bars_as_json": json_bars,
     "backfill_per_symbol": backfill_per_symbol,
     "backfill_union": backfill_union,
     "persist_roundtrip": persist_roundtrip,
@@ -276,6 +295,11 @@ SELECT (epoch_us(ref) - epoch_us(latest)) / 1e6 <= 120 AS ok, latest,
         _BARS,
         select=f"SELECT {_STORED} FROM bars WHERE bar_end > TIMESTAMP '{OUTAGE}' AND bar_end <= TIMESTAMP '{NOW}'",
     ),
+    "backfill_mixed_store": _with(
+        _BARS,
+        select=f"SELECT {_STORED} FROM bars WHERE bar_end > TIMESTAMP '{OUTAGE}' AND bar_end <= TIMESTAMP '{NOW}'",
+    ),
+    "bars_as_json": _with(_BARS, select=f"SELECT {_COLUMNS}, seq FROM bars"),
     "backfill_per_symbol": _with(
         _BARS,
         select=f"""SELECT symbol, count(*) AS bars, min(bar_end) AS first_end FROM bars

@@ -19,7 +19,9 @@ from tidemark.operators.quality import (
 )
 from tidemark.queries import bindings as b
 from tidemark.queries.panel_queries import _with
-from tidemark.sinks.reports import event_rows, feed_report
+from tidemark.schemas import EVENT
+from tidemark.session import work_dir
+from tidemark.sinks.reports import append_events, event_rows, feed_report
 from tidemark.sources.feeds import decode_array_feed, decode_object_feed
 
 NOW = datetime(2024, 1, 31, 1)
@@ -112,6 +114,13 @@ end"""
     )
 
 
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts appended to the JSON event log and read back."""
+    path = work_dir(spark, "events")
+    append_events(alerts(spark, sf_dir), path)
+    return spark.read.schema(EVENT).json(path).select("event", "symbol", "bar_end", "write_ms")
+
+
 WANTED = ("click", "error", "purchase", "view")
 
 
@@ -200,6 +209,7 @@ QUERIES = {
     "rolling_p95": rolling_p95,
     "ingest_counters": counters,
     "latency_alerts": alerts,
+    "event_log": event_log,
     "decode_object_feed": object_feed,
     "decode_object_feed_refused": object_feed_refused,
     "decode_array_feed": array_feed,
@@ -285,6 +295,8 @@ FROM bars""",
     "latency_alerts": """SELECT 'latency_alert' AS event, TIMESTAMP '2024-02-01 00:00:00' AS logged_at,
   event_type AS symbol, CAST(ts AS TIMESTAMP) AS bar_end, value AS write_ms, CAST(100 AS DOUBLE) AS threshold_ms
 FROM events WHERE value > 100""",
+    "event_log": """SELECT 'latency_alert' AS event, event_type AS symbol,
+  CAST(ts AS TIMESTAMP) AS bar_end, value AS write_ms FROM events WHERE value > 100""",
     "decode_object_feed": """SELECT event_id AS seq, event_type AS symbol, value AS price,
   CASE WHEN user_id % 3 = 1 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS size,
   CAST(CASE WHEN user_id % 3 = 0 THEN date_trunc('millisecond', ts) ELSE ts END AS TIMESTAMP) AS ts,

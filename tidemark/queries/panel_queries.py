@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import run_label
 from tidemark.operators.cleaning import (
     fill_gaps,
     missing_fraction,
@@ -32,8 +33,15 @@ from tidemark.operators.shape import (
 from tidemark.panel import Panel, densify
 from tidemark.plans import build_panel
 from tidemark.queries import bindings as b
-from tidemark.sinks.reports import build_metadata, outlier_report
-from tidemark.sources.files import read_price_panel
+from tidemark.session import work_dir
+from tidemark.sinks.reports import (
+    build_metadata,
+    outlier_report,
+    read_current,
+    write_csv,
+    write_run,
+)
+from tidemark.sources.files import read_price_panel, read_run_history
 
 WINDOW = 60
 START, END = datetime(1996, 1, 1), datetime(2000, 1, 1)
@@ -241,6 +249,32 @@ def built_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built["zscores"].long().withColumn("value", b.r6("value"))
 
 
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly panel exported as CSV, read back and made tidy."""
+    path = work_dir(spark, "csv")
+    write_csv(densify(b.brand_prices(spark, sf_dir, "month"), b.BRANDS), path)
+    flat = spark.read.option("header", True).csv(path)
+    tidy = flat.unpivot(["symbol"], flat.columns[1:], "day", "price")
+    return tidy.withColumn("price", F.col("price").cast("double"))
+
+
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scaler parameters of three runs, written out of order; the newest run is current."""
+    path = work_dir(spark, "runs")
+    panel = weekly_returns(spark, sf_dir).stored("returns")
+    for day, window in ((1, 20), (3, WINDOW), (2, 40)):
+        write_run(scaler_params(panel, window=window), path, datetime(2024, 1, day))
+    newest = read_current(spark, path)
+    runs = read_run_history(spark, path).select("run_ts").distinct()
+    return newest.select(
+        "symbol",
+        b.r6("mean").alias("mean"),
+        b.r6("scale").alias("scale"),
+        run_label(F.col("run_ts")).alias("run"),
+        runs.agg(F.count(F.lit(1))).scalar().alias("runs"),
+    )
+
+
 QUERIES = {
     "price_panel": price_panel,
     "dense_panel": dense_panel,
@@ -268,6 +302,8 @@ QUERIES = {
     "heatmap_cells": heatmap,
     "panel_columns": panel_columns,
     "wide_export": wide_export,
+    "csv_roundtrip": csv_roundtrip,
+    "run_history": run_history,
     "build_metadata": metadata,
     "build_zscores": built_scores,
 }
@@ -450,6 +486,12 @@ SELECT symbol_a, symbol_b, round(r, 6) + 0.0 AS correlation FROM ("""
         _WEEK_Z + _LOW,
         select="SELECT count(*) AS count, min(round(r, 4)) + 0.0 AS lowest FROM pairs WHERE r < 0.3",
     ),
+    "run_history": _with(
+        _WEEK_RET,
+        select=f"""SELECT symbol, round(avg(value), 6) + 0.0 AS mean, round(stddev_pop(value), 6) AS scale,
+       '2024-01-03  00:00:00 UTC' AS run, CAST(3 AS BIGINT) AS runs
+FROM ret WHERE ord > (SELECT max(ord) FROM ret) - {WINDOW} GROUP BY symbol HAVING count(*) = {WINDOW}""",
+    ),
     "panel_stats": _with(
         _DAY,
         select="""SELECT count(DISTINCT ts) AS row_count, strftime(min(ts), '%Y-%m-%d') AS start_date,
@@ -475,6 +517,10 @@ FROM z, (SELECT count(DISTINCT ts) AS n FROM z) t""",
   PIVOT (SELECT symbol, strftime(ts, '%Y-%m-%d') AS label, price FROM dense)
   ON label USING max(price) GROUP BY symbol)""",
     ),
+    "csv_roundtrip": _with(
+        b.brand_prices_sql("month") + "\n" + b.DENSE_SQL,
+        select="SELECT symbol, strftime(ts, '%Y-%m-%d') AS day, price FROM dense",
+    ),
     "build_metadata": _with(
         _BUILT,
         select="""SELECT DATE '1996-01-01' AS start_date, DATE '2000-01-01' AS end_date,

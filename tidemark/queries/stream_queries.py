@@ -10,8 +10,10 @@ from tidemark.queries import bindings as b
 from tidemark.queries.panel_queries import _with
 from tidemark.session import use_utc, work_dir
 from tidemark.schemas import with_utc
+from tidemark.sources.files import read_bar_store
 from tidemark.streaming import (
     ExactBarWriter,
+    compaction_writer,
     read_exact_bars,
     retention_writer,
     stream_bars,
@@ -89,12 +91,22 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/log/newest_60/batch={last}")
 
 
+def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six-hour bars merged into the hourly store as the watermark passes them."""
+    folder = work_dir(spark, "stream-compaction")
+    built = stream_bars(_tick_stream(spark, sf_dir), "6 hours")
+    _run_batches(built, folder, compaction_writer(f"{folder}/store"))
+    store = read_bar_store(spark, f"{folder}/store")
+    return store.select("symbol", "bar_start", "bar_end", "close_fixed", "volume")
+
+
 QUERIES = {
     "stream_bars": watermarked,
     "stream_bars_exact": exact,
     "stream_bars_stateful": stateful,
     "stream_late_ticks": stateful_late,
     "stream_retention": retention,
+    "stream_compaction": compaction,
 }
 
 _COLUMNS = "symbol, bar_start, bar_end, open_fixed, high_fixed, low_fixed, close_fixed, volume, source"
@@ -126,4 +138,14 @@ QUALIFY bar_start < max(bar_start) OVER (PARTITION BY symbol)""",
         select=f"""SELECT {_COLUMNS}, seq FROM bars
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY bar_end DESC, seq DESC) <= 60""",
     ),
+    "stream_compaction": _with(
+        _TICKS,
+        select=""", built AS (
+  SELECT symbol, CAST(time_bucket(INTERVAL 6 HOUR, ts) AS TIMESTAMP) AS bar_start,
+         CAST(round(arg_max(price, seq) * 100) AS BIGINT) * 10000000 AS close_fixed,
+         CAST(round_even(sum(size), 0) AS BIGINT) AS volume
+  FROM ticks GROUP BY 1, 2)
+SELECT symbol, bar_start, bar_start + INTERVAL 6 HOUR AS bar_end, close_fixed, volume FROM built
+WHERE bar_start + INTERVAL 6 HOUR <= (SELECT max(ts) FROM ticks)""",
+    ),
 }

@@ -13,6 +13,9 @@ from tidemark.panel import Panel
 from tidemark.schemas import EVENT
 
 
+EVENT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def write_run(df: DataFrame, path: str, run_ts) -> None:
     """Store one run of a result. Runs are partitions; older ones stay where they are."""
     (
@@ -112,4 +115,6 @@ def event_rows(events: DataFrame, now=None) -> DataFrame:
 
 def append_events(events: DataFrame, path: str, now=None) -> None:
     """Append one JSON record per event, leaving out empty fields."""
-    event_rows(events, now).write.mode("append").json(path)
+    event_rows(events, now).write.mode("append").option(
+        "timestampFormat", EVENT_TIME
+    ).json(path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.bars import retain_per_symbol
 from tidemark.sinks.bar_store import persist_bars
-from tidemark.sinks.reports import event_rows
+from tidemark.sinks.reports import EVENT_TIME, event_rows
 
 Writer = Callable[[DataFrame, int], None]
 
@@ -66,6 +66,8 @@ def event_writer(path: str) -> Writer:
     """Write the events of each micro-batch to its own folder of the event log."""
 
     def write(events: DataFrame, batch_id: int) -> None:
-        event_rows(events).write.mode("overwrite").json(f"{path}/batch={batch_id}")
+        event_rows(events).write.mode("overwrite").option("timestampFormat", EVENT_TIME).json(
+            f"{path}/batch={batch_id}"
+        )
 
     return write
