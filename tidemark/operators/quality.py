@@ -264,7 +264,7 @@ def rolling_rank(
         raise ValueError("size must be >= 1")
     reach = size - 1
     names = ", ".join(keys)
-    spread = with_halo(number_rows(df, list(keys), order), max(4 * size, 1 << 14), reach)
+    spread = with_halo(number_rows(df, list(keys), order), max(8 * size, 1 << 12), reach)
     frame = (
         f"collect_list({value}) over (partition by {names}, block order by ord"
         f" rows between {reach} preceding and current row)"

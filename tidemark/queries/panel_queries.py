@@ -400,11 +400,11 @@ FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_shipdate >= TIMESTAMP '1996
 AND l_shipdate < TIMESTAMP '2000-01-01' GROUP BY 1, 2""",
     "dense_panel": _with(_DAY, select="SELECT symbol, ts, price FROM dense"),
     "missing_fraction": _with(
-        _DAY + _RANKED, select="SELECT symbol, pos, round(missing_frac, 6) AS missing_frac FROM shares"
+        _DAY + _RANKED, select="SELECT symbol, CAST(pos AS INT) AS pos, round(missing_frac, 6) AS missing_frac FROM shares"
     ),
     "zombie_replacements": _with(
         _DAY + _RANKED,
-        select="SELECT pos, dropped, replaced_with, round(missing_frac, 6) AS missing_frac FROM swaps",
+        select="SELECT CAST(pos AS INT) AS pos, dropped, replaced_with, round(missing_frac, 6) AS missing_frac FROM swaps",
     ),
     "replaced_panel": _with(_DAY + _RANKED, select="SELECT symbol, ts, price FROM swapped"),
     "open_periods": _with(

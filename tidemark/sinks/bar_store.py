@@ -62,7 +62,9 @@ def persist_bars(bar_log: DataFrame, path: str, *, scale: int = SCALE) -> Persis
     stored = _stored(bar_log, path)
     if stored is not None:
         stored = stored.withColumn("date", F.col("date").cast("date"))
-        kept = stored.join(F.broadcast(touched) if _few(touched) else touched, ["date", "hour"], "left_semi")
+        # a broadcast of the hours prunes the folders that are read
+        hours = F.broadcast(touched) if _few(touched) else touched
+        kept = stored.join(hours, ["date", "hour"], "left_semi")
         merged = merged.unionByName(kept.withColumn("_rank", F.lit(0)), allowMissingColumns=True)
     keys = ["date", "hour", "symbol", "bar_end"]
     rest = [c for c in merged.columns if c not in (*keys, "_rank")]
@@ -89,4 +91,4 @@ def persist_bars(bar_log: DataFrame, path: str, *, scale: int = SCALE) -> Persis
 
 def _few(touched: DataFrame, most: int = 100_000) -> bool:
     """Whether the touched hours are few enough to send to every task."""
-    return len(touched.limit(most + 1).collect()) <= most
+    return touched.limit(most + 1).count() <= most

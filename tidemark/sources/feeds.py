@@ -78,18 +78,19 @@ def decode_object_feed(
     universe are dropped; a price or time that cannot be read is a reject. A
     fatal status gives an error row (seq, source, kind, message).
     """
+    # inline keeps the parsed fields as columns, so a message is parsed once
     parsed = messages.select(
-        "seq", "message", F.from_json("message", OBJECT_FIELDS).alias("m")
-    ).withColumn("_fatal", F.coalesce(F.lower("m.status").isin(*OBJECT_FATAL), F.lit(False)))
+        "seq", "message", F.inline(F.array(F.from_json("message", OBJECT_FIELDS)))
+    ).withColumn("_fatal", F.coalesce(F.lower("status").isin(*OBJECT_FATAL), F.lit(False)))
     errors = parsed.where("_fatal").select(
         "seq", F.lit(source).alias("source"), F.lit("protocol_error").alias("kind"), "message"
     )
     events = parsed.where("not _fatal").select(
         "seq",
-        F.trim(F.coalesce(F.nullif("m.symbol", F.lit("")), "m.s")).alias("symbol"),
-        _number(F.coalesce("m.price", "m.p")).alias("_price"),
-        _number(F.col("m.size")).alias("_size"),
-        _time(F.coalesce(clean_text(F.col("m.timestamp")), "m.t"), cutoffs).alias("_ts"),
+        F.trim(F.coalesce(F.nullif("symbol", F.lit("")), "s")).alias("symbol"),
+        _number(F.coalesce("price", "p")).alias("_price"),
+        _number(F.col("size")).alias("_size"),
+        _time(F.coalesce(clean_text(F.col("timestamp")), "t"), cutoffs).alias("_ts"),
         "message",
     )
     ticks, rejects = _ticks(events, universe, source)
