@@ -110,15 +110,12 @@ def fill_gaps(panel: Panel, *, limit: int = 2, direction: str = "both") -> Panel
     if direction not in ("both", "forward"):
         raise ValueError("direction must be 'both' or 'forward'")
     length = block_length(panel.width, limit)
-    base = (
-        panel.rows.withColumn("block", own_block(length))
-        .withColumn("is_open", is_open())
-        .repartition("block")
-    )
+    blocked = panel.rows.withColumn("block", own_block(length)).withColumn("is_open", is_open())
+    base = blocked.repartition("block")
 
     # o: number of the row among the open rows
     offsets = (
-        base.groupBy("block")
+        blocked.groupBy("block")
         .agg(F.expr("count_if(is_open) as _n"))
         .selectExpr("block", f"coalesce(sum(_n) over (order by block {BEFORE}), 0L) as _offset")
     )
@@ -126,43 +123,53 @@ def fill_gaps(panel: Panel, *, limit: int = 2, direction: str = "both") -> Panel
         "count_if(is_open) over (partition by block order by ord"
         " rows between unbounded preceding and current row)"
     )
-    cells = (
+    rows = (
         base.withColumn("_opened", F.expr(opened))
         .join(offsets, "block")
-        .selectExpr(
-            "block", "ts", "ord", "is_open", "_offset + _opened as o",
-            "posexplode(values) as (pos, x)",
+        .selectExpr("block", "ts", "ord", "is_open", "_offset + _opened as o", "values")
+    )
+    known = "if(x is not null, struct(o, x), null) as known"
+    edges = (
+        rows.selectExpr("block", "o", "posexplode(values) as (pos, x)")
+        .selectExpr("block", "pos", known)
+        .groupBy("block", "pos")
+        .agg(
+            F.expr("min_by(known, known.o) as first_known"),
+            F.expr("max_by(known, known.o) as last_known"),
         )
-        .selectExpr("*", "if(x is not null, struct(o, x), null) as known")
     )
-
     # Reading forward in descending order keeps the frame growing from its
     # start, which Spark updates in place.
-    edges = cells.groupBy("block", "pos").agg(
-        F.expr("min_by(known, known.o) as first_known"),
-        F.expr("max_by(known, known.o) as last_known"),
-    )
-    carried = edges.selectExpr(
-        "block",
-        "pos",
+    prev = (
         f"last_value(last_known) ignore nulls over (partition by pos order by block {BEFORE})"
-        " as carry_prev",
+    )
+    following = (
         f"last_value(first_known) ignore nulls over (partition by pos order by block desc {BEFORE})"
-        " as carry_next",
+    )
+    # one row per block, so that the rows stay where they are in the join
+    carried = (
+        edges.selectExpr("block", "pos", f"{prev} as prev", f"{following} as next")
+        .groupBy("block")
+        .agg(F.expr("array_sort(collect_list(struct(pos, prev, next))) as carry"))
     )
     so_far = "rows between unbounded preceding and current row"
-    near = cells.join(carried, ["block", "pos"]).selectExpr(
-        "block",
-        "ts",
-        "ord",
-        "is_open",
-        "o",
-        "pos",
-        "x",
-        "coalesce(last_value(known) ignore nulls over"
-        f" (partition by block, pos order by ord {so_far}), carry_prev) as prev",
-        "coalesce(last_value(known) ignore nulls over"
-        f" (partition by block, pos order by ord desc {so_far}), carry_next) as next",
+    near = (
+        rows.join(carried, "block")
+        .selectExpr("*", "posexplode(values) as (pos, x)")
+        .selectExpr("block", "ts", "ord", "is_open", "o", "pos", "x", known, "carry[pos] as carry")
+        .selectExpr(
+            "block",
+            "ts",
+            "ord",
+            "is_open",
+            "o",
+            "pos",
+            "x",
+            "coalesce(last_value(known) ignore nulls over"
+            f" (partition by block, pos order by ord {so_far}), carry.prev) as prev",
+            "coalesce(last_value(known) ignore nulls over"
+            f" (partition by block, pos order by ord desc {so_far}), carry.next) as next",
+        )
     )
     after = f"(prev is not null and o - prev.o <= {limit})"
     before = f"(next is not null and next.o - o <= {limit})"

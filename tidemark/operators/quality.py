@@ -265,6 +265,9 @@ def rolling_rank(
     reach = size - 1
     names = ", ".join(keys)
     spread = with_halo(number_rows(df, list(keys), order), max(8 * size, 1 << 12), reach)
+    # few bytes but much sorting: a given number of partitions is not merged at run time
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = spread.repartition(tasks, *keys, "block")
     frame = (
         f"collect_list({value}) over (partition by {names}, block order by ord"
         f" rows between {reach} preceding and current row)"
