@@ -23,6 +23,7 @@ from tidemark.operators.quality import (
     nearest_rank,
     rolling_rank,
     store_freshness,
+    write_counters,
 )
 
 T0 = datetime(2026, 4, 5, 10, 0)
@@ -215,6 +216,15 @@ def test_counters_and_alerts(spark, ticks):
         latency_alerts(writes, 0)
 
 
+def test_write_counters(spark):
+    times = [5.0, 9.0, 1.0, 2.0, 3.0]
+    writes = spark.createDataFrame(list(enumerate(times)), "seq long, write_ms double")
+    events = spark.createDataFrame([("frozen",), ("connected",), (None,)], "state string")
+    row = write_counters(writes, events, size=3).first()
+    assert tuple(row) == (3.0, 9.0, 3.0, 1)
+    assert tuple(write_counters(writes.limit(0), events.limit(0)).first()) == (None, None, None, 0)
+
+
 def p95(values):
     ordered = sorted(values)
     return ordered[int(round((len(ordered) - 1) * 0.95))]

@@ -201,6 +201,26 @@ def ingest_counters(ticks: DataFrame, bar_log: DataFrame, now, width: str = "1 m
     )
 
 
+def write_counters(writes: DataFrame, events: DataFrame, *, size: int = 600) -> DataFrame:
+    """One row: last, largest and recent p95 write time in ms, and the number of freezes.
+
+    writes (seq, write_ms), events with ``state``. The p95 is over the last
+    ``size`` writes, found by a distributed top-n.
+    """
+    if size < 1:
+        raise ValueError("size must be >= 1")
+    recent = nearest_rank(writes.orderBy(F.col("seq").desc()).limit(size), "write_ms")
+    frozen = events.where(F.col("state") == "frozen").agg(F.count(F.lit(1)))
+    return writes.agg(
+        F.max_by("write_ms", "seq").alias("last_write_ms"), F.max("write_ms").alias("max_write_ms")
+    ).select(
+        "last_write_ms",
+        "max_write_ms",
+        recent.select("write_ms").scalar().alias("p95_write_ms"),
+        frozen.scalar().alias("freeze_events"),
+    )
+
+
 def nearest_rank(
     df: DataFrame,
     value: str,

@@ -16,6 +16,7 @@ from tidemark.operators.quality import (
     latency_alerts,
     nearest_rank,
     rolling_rank,
+    write_counters,
 )
 from tidemark.queries import bindings as b
 from tidemark.queries.panel_queries import _with
@@ -84,6 +85,15 @@ def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_counters(ticks, bars(ticks), NOW)
 
 
+def writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as writes that took ``value`` milliseconds; error events froze the feed."""
+    events = b.table(spark, sf_dir, "events")
+    return write_counters(
+        events.select(F.col("event_id").alias("seq"), F.col("value").alias("write_ms")),
+        events.select(F.expr("if(event_type = 'error', 'frozen', 'connected') as state")),
+    )
+
+
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as bar writes that took ``value`` milliseconds."""
     writes = b.table(spark, sf_dir, "events").select(
@@ -208,6 +218,7 @@ QUERIES = {
     "p95_rank_all": rank_all,
     "rolling_p95": rolling_p95,
     "ingest_counters": counters,
+    "write_counters": writes,
     "latency_alerts": alerts,
     "event_log": event_log,
     "decode_object_feed": object_feed,
@@ -292,6 +303,12 @@ SELECT source, seq, f[CAST(round_even((len(f) - 1) * CAST(0.95 AS DOUBLE), 0) AS
   greatest(0.0, CAST((epoch_us(TIMESTAMP '2024-01-31 01:00:00') - epoch_us(max(bar_end))) AS DOUBLE) / 1000) AS ingest_lag_ms
 FROM bars""",
     ),
+    "write_counters": """WITH recent AS (
+  SELECT value, row_number() OVER (ORDER BY value) - 1 AS k, count(*) OVER () AS n
+  FROM (SELECT value FROM events ORDER BY event_id DESC LIMIT 600))
+SELECT arg_max(value, event_id) AS last_write_ms, max(value) AS max_write_ms,
+  (SELECT value FROM recent WHERE k = CAST(round_even((n - 1) * CAST(0.95 AS DOUBLE), 0) AS BIGINT)) AS p95_write_ms,
+  count(*) FILTER (WHERE event_type = 'error') AS freeze_events FROM events""",
     "latency_alerts": """SELECT 'latency_alert' AS event, TIMESTAMP '2024-02-01 00:00:00' AS logged_at,
   event_type AS symbol, CAST(ts AS TIMESTAMP) AS bar_end, value AS write_ms, CAST(100 AS DOUBLE) AS threshold_ms
 FROM events WHERE value > 100""",
