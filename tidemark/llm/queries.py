@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import rules, rules_sql
+from tidemark.llm import bpe, rules, rules_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +22,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
+def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.encode_texts(_table(spark, sf_dir, "documents"), path, decoded=True)
+    return coded.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op8_bpe_automaton": op8_bpe_automaton,
     "op9_quality_rules": op9_quality_rules,
 }
 
