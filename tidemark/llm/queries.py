@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, rules, rules_sql
+from tidemark.llm import bpe, rules, rules_sql, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,31 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in secrets.KINDS])
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("kinds", lambda k: k == kind)).cast("long")
+
+    def written(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kinds"]), s["starts"], s["ends"])), ","
+        )
+
+    spans = F.arrays_zip("kinds", "starts", "ends")
+    return found.select(
+        "doc_id",
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        F.sha2(written(F.filter(spans, lambda s: s["kinds"] < 3)).cast("binary"), 256).alias("base_sha256"),
+        written(spans).alias("spans"),
+        number(3).alias("n_guess"),
+        F.col("top_log10"),
+    )
+
+
 def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     coded = bpe.encode_texts(_table(spark, sf_dir, "documents"), path, decoded=True)
@@ -34,6 +59,7 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_scan": op1_secret_scan,
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_quality_rules": op9_quality_rules,
 }
