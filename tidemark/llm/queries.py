@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, rules, rules_sql, secrets
+from tidemark.llm import bpe, pareto, pareto_sql, rules, rules_sql, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pareto.mix(_table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     coded = bpe.encode_texts(_table(spark, sf_dir, "documents"), path, decoded=True)
@@ -60,10 +64,12 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
+    "op7_pareto_mix": op7_pareto_mix,
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_quality_rules": op9_quality_rules,
 }
 
 SQL: dict[str, str] = {
+    "op7_pareto_mix": pareto_sql.mix_sql(),
     "op9_quality_rules": rules_sql.SQL,
 }
