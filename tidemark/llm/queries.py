@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, pareto, pareto_sql, rules, rules_sql, secrets
+from tidemark.llm import bpe, ngram_join, ngram_join_sql, pareto, pareto_sql, rules, rules_sql, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto.mix(_table(spark, sf_dir, "documents"))
 
@@ -64,12 +68,14 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op7_pareto_mix": op7_pareto_mix,
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_quality_rules": op9_quality_rules,
 }
 
 SQL: dict[str, str] = {
+    "op3_ngram_jaccard_join": ngram_join_sql.SQL,
     "op7_pareto_mix": pareto_sql.mix_sql(),
     "op9_quality_rules": rules_sql.SQL,
 }
