@@ -268,3 +268,17 @@ def near_duplicates(
     )
     result = rows.join(small_side(shared), "node", "left")
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that name their component: one document of each group, columns unchanged.
+
+    Texts without words are groups of their own and stay. Of rows that agree in id and text one
+    stays. Rows without an id stay if their component has no id either.
+    """
+    found = staged(near_duplicates(docs, id_col, text_col, size, percent), "near-duplicates")
+    names = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"))
+    repeated = names.groupBy("kept_id").count().filter("count > 1").limit(1).count() > 0
+    names = small_side(names.distinct() if repeated else names)
+    kept = docs.join(names, docs[id_col].eqNullSafe(names["kept_id"]), "left_semi")
+    return kept.dropDuplicates([id_col, text_col]) if repeated else kept

@@ -91,7 +91,7 @@ def mix(
     most: int = 3,
     seed: int = 17,
 ) -> DataFrame:
-    """Copies of each row: (doc_id, size, source_size, target, copies, taken), one row per row of ``docs``.
+    """Copies of each row: (doc_id, size, source_size, target, copies, taken, source), one row per row of ``docs``.
 
     ``size`` counts the words of the whole text (null: 0), ``taken`` is ``copies`` times ``size``.
     A null source is a source of its own. Rows without words get the certain copies of their
@@ -188,5 +188,22 @@ def mix(
     chosen = chosen & F.col("doc_id").eqNullSafe(F.col("extra_id")) & (F.col("size") == F.col("extra_size"))
     copies = (F.col("certain") + F.when(F.col("taken_once") | chosen, 1).otherwise(0)).cast("int")
     return done.withColumn("copies", copies).select(
-        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "source"
     )
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs``, each as often as :func:`mix` takes it, columns unchanged."""
+    taken = mix(docs, id_col, text_col, source_col, **options).filter("copies > 0")
+    # copies depend on these three alone, so rows that agree in them can share one entry
+    taken = taken.select(
+        F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size"), "copies"
+    ).distinct()
+    taken = small_side(staged(taken, "mix-copies"))
+    match = (
+        docs[id_col].eqNullSafe(taken["mix_id"])
+        & docs[source_col].eqNullSafe(taken["mix_source"])
+        & (n_words(docs[text_col]) == taken["mix_size"])
+    )
+    once = docs.join(taken, match).select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), taken["copies"])))
+    return once.toDF(*docs.columns, "copy of the mix").drop("copy of the mix")

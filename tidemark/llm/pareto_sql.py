@@ -56,6 +56,6 @@ WITH sized AS (
 )
 SELECT doc_id, size, source_size, target,
        certain + CASE WHEN once OR (ratio IS NOT NULL AND doc_id = x[2] AND size = x[3]) THEN 1 ELSE 0 END AS copies,
-       ((certain + CASE WHEN once OR (ratio IS NOT NULL AND doc_id = x[2] AND size = x[3]) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+       ((certain + CASE WHEN once OR (ratio IS NOT NULL AND doc_id = x[2] AND size = x[3]) THEN 1 ELSE 0 END) * size)::BIGINT AS taken, drawn.source
 FROM drawn LEFT JOIN extras ON drawn.source IS NOT DISTINCT FROM extras.source
 """
