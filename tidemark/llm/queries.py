@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, ngram_join, ngram_join_sql, pareto, pareto_sql, rules, rules_sql, secrets
+from tidemark.llm import bpe, ngram_join, ngram_join_sql, pareto, pareto_sql, pst, rules, rules_sql, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pst.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_suffix_tree_scores": op2_suffix_tree_scores,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op7_pareto_mix": op7_pareto_mix,
     "op8_bpe_automaton": op8_bpe_automaton,
