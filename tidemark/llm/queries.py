@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, ngram_join, ngram_join_sql, pareto, pareto_sql, pst, rules, rules_sql, secrets
+from tidemark.llm import bpe, ngram_join, ngram_join_sql, pareto, pareto_sql, pst, rules, rules_sql, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,11 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score_texts(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto.mix(_table(spark, sf_dir, "documents"))
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_tree_scores": op2_suffix_tree_scores,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op6_weak_supervision_toxicity": op6_weak_supervision_toxicity,
     "op7_pareto_mix": op7_pareto_mix,
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_quality_rules": op9_quality_rules,
