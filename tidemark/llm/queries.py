@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, cotrain, ngram_join, ngram_join_sql, pareto, pareto_sql, pst, rules, rules_sql, secrets, toxicity
+from tidemark.llm import bpe, cotrain, mih, ngram_join, ngram_join_sql, pareto, pareto_sql, pst, rules, rules_sql, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mih.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return cotrain.score_texts(docs, cotrain.fit(docs, _table(spark, sf_dir, "labels")))
@@ -84,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_tree_scores": op2_suffix_tree_scores,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_multi_index_hashing": op4_multi_index_hashing,
     "op5_cotraining_quality": op5_cotraining_quality,
     "op6_weak_supervision_toxicity": op6_weak_supervision_toxicity,
     "op7_pareto_mix": op7_pareto_mix,
