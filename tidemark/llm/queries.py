@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, cotrain, mih, ngram_join, ngram_join_sql, pareto, pareto_sql, pst, rules, rules_sql, secrets, toxicity
+from tidemark.llm import bpe, cotrain, crf_html, mih, ngram_join, ngram_join_sql, pareto, pareto_sql, pst, rules, rules_sql, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +84,11 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return crf_html.extract(pages, crf_html.fit(pages))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_tree_scores": op2_suffix_tree_scores,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op7_pareto_mix": op7_pareto_mix,
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_quality_rules": op9_quality_rules,
+    "op10_crf_main_text": op10_crf_main_text,
 }
 
 SQL: dict[str, str] = {
