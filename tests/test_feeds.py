@@ -49,7 +49,7 @@ def test_object_feed(spark):
     assert [found[i].size for i in range(4)] == [3.0, 0.0, 0.0, 0.0]
     assert [found[i].ts for i in (0, 1, 3)] == [WHEN] * 3
     assert found[2].ts == WHEN.replace(microsecond=0)
-    assert {r.seq: r.reason for r in rejects.collect()} == {5: "price", 6: "price", 7: "price", 8: "time"}
+    assert {r.seq: r.reason for r in rejects.collect()} == {5: "price", 6: "price", 7: "price", 8: "time", 11: "message"}
     assert [(r.seq, r.kind) for r in errors.collect()] == [(9, "protocol_error")]
 
 
@@ -111,3 +111,34 @@ def test_text_bars(spark):
     found = bars.orderBy("seq").collect()
     assert [r.seq for r in found] == [1, 2] and found[0].volume == 5 and found[1].symbol == "A"
     assert sorted(r.seq for r in bad.collect()) == [4, 5, 6]
+
+
+def test_every_message_is_a_tick_a_reject_or_an_error(spark):
+    texts = [
+        '{"symbol": "A", "price": 1.5, "timestamp": 1775383200}',
+        '{"symbol": "A", "price": 1.5, "timestamp": "T12:30"}',
+        '{"symbol": "A", "price": "x", "timestamp": 1775383200}',
+        '{"status": "error"}',
+        '{"symbol": "A", "pri',
+        "no json",
+        "[1]",
+        None,
+    ]
+    messages = spark.createDataFrame(list(enumerate(texts)), "seq long, message string")
+    ticks, rejects, errors = decode_object_feed(messages, ["A"])
+    assert [r.seq for r in ticks.collect()] == [0]
+    assert {r.seq: r.reason for r in rejects.collect()} == {1: "time", 2: "price", 4: "message", 5: "message", 6: "message", 7: "message"}
+    assert [r.seq for r in errors.collect()] == [3]
+
+    texts = [
+        '[{"ev": "T", "sym": "A", "p": 1, "s": 2, "t": 1775383200000}, {"ev": "T", "sym": "A", "p": 1, "t": "20260101"}]',
+        '[{"ev": "T", "sym": "A", "p": 1, "s": 2, "t": 1775383200000}, {"ev"',
+        "broken",
+        None,
+        "[]",
+    ]
+    messages = spark.createDataFrame(list(enumerate(texts)), "seq long, message string")
+    ticks, rejects, errors = decode_array_feed(messages, ["A"])
+    assert sorted(r.ts.isoformat()[:10] for r in ticks.collect()) == ["2026-01-01", "2026-04-05"]
+    assert sorted((r.seq >> 20, r.reason) for r in rejects.collect()) == [(1, "message"), (2, "message"), (3, "message")]
+    assert errors.count() == 0

@@ -162,3 +162,29 @@ def test_work_dir_follows_the_session(spark):
     assert first != second
     if base:
         assert first.startswith(base)
+
+
+def test_repeated_report_labels_raise(spark):
+    from tidemark.operators.shape import transpose
+
+    rows = [("A", datetime(2026, 4, 5, 10, m), float(m)) for m in range(3)]
+    from tidemark.panel import densify
+
+    panel = densify(spark.createDataFrame(rows, "symbol string, ts timestamp, price double"), ["A"])
+    with pytest.raises(ValueError, match="finer pattern"):
+        transpose(panel)
+    assert transpose(panel, pattern="HHmm").columns == ["symbol", "1000", "1001", "1002"]
+
+
+def test_store_keeps_the_bars_of_each_source(spark, tmp_path):
+    from tidemark.functions import to_fixed
+    from tidemark.sinks.bar_store import persist_bars
+
+    bar = (datetime(2026, 4, 5, 10, 0), datetime(2026, 4, 5, 10, 1), 1, 1, 1, 1, 5)
+    rows = [("A", *bar, "one"), ("A", *bar, "two")]
+    schema = "symbol string, bar_start timestamp, bar_end timestamp, open_fixed long, high_fixed long, low_fixed long, close_fixed long, volume long, source string"
+    result = persist_bars(spark.createDataFrame(rows, schema), str(tmp_path / "store"))
+    assert (result.written, result.deduped) == (2, 0)
+    assert spark.read.parquet(str(tmp_path / "store")).count() == 2
+    wide = spark.createDataFrame([(1e12,), (1e17,), (-2.345,)], "x double")
+    assert [r[0] for r in wide.select(to_fixed(wide.x, 100)).collect()] == [10**14, None, -235]

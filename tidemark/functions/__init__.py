@@ -5,6 +5,7 @@ from tidemark.functions.times import (
     WIDE_CUTOFFS,
     NARROW_CUTOFFS,
     epoch_to_timestamp,
+    parse_day_optional,
     parse_iso,
     parse_iso_optional,
     run_label,
@@ -23,6 +24,7 @@ __all__ = [
     "from_fixed",
     "lag_ms",
     "log_ratio",
+    "parse_day_optional",
     "parse_iso",
     "parse_iso_optional",
     "row_json",

@@ -19,10 +19,11 @@ def to_fixed(value: Column, scale: int = SCALE) -> Column:
     """Scaled bigint, rounded half up on the decimal text of the number.
 
     The cast to a wide decimal keeps the printed digits, and rounding happens
-    once, at the target digit. Values out of range give NULL.
+    once, at the target digit. The decimal has room for every value whose scaled
+    form fits a bigint; others give NULL.
     """
     digits = _digits(scale)
-    exact = value.try_cast("decimal(38,28)")
+    exact = value.try_cast(f"decimal(38,{min(38, 19 + digits)})")
     return (F.round(exact, digits) * F.lit(scale)).try_cast("bigint")
 
 

@@ -18,8 +18,14 @@ def parse_iso(raw: Column) -> Column:
 
 
 def parse_iso_optional(raw: Column) -> Column:
-    """Same, with NULL for bad or missing text."""
-    return F.try_to_timestamp(raw)
+    """Same, with NULL for bad or missing text and for a time without a date."""
+    return F.when(raw.rlike(r"^\s*[0-9]{4}-"), F.try_to_timestamp(raw))
+
+
+def parse_day_optional(raw: Column) -> Column:
+    """Text of eight digits that reads as a day of 1900 to 2099; NULL for all else."""
+    day = raw.rlike("^(19|20)[0-9]{2}(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])$")
+    return F.when(day, F.try_to_timestamp(raw, F.lit("yyyyMMdd")))
 
 
 def epoch_to_timestamp(raw: Column, cutoffs: tuple[int, int, int] = WIDE_CUTOFFS) -> Column:

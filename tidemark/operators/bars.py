@@ -277,9 +277,10 @@ def backfill_bars(
             F.col("bar_end") > F.col("after")
         )
     prices = [
-        F.coalesce(F.col(f"{c}_fixed"), to_fixed(F.col(c), scale), F.lit(0).cast("bigint")).alias(
-            f"{c}_fixed"
-        )
+        # 0 where no price is stored; a stored price that does not fit stays NULL
+        F.when(F.col(f"{c}_fixed").isNull() & F.col(c).isNull(), F.lit(0).cast("bigint"))
+        .otherwise(F.coalesce(F.col(f"{c}_fixed"), to_fixed(F.col(c), scale)))
+        .alias(f"{c}_fixed")
         for c in ("open", "high", "low", "close")
     ]
     source = F.coalesce(F.nullif(F.col("source"), F.lit("")), F.lit("type2"))

@@ -68,10 +68,15 @@ def transpose(
 ) -> DataFrame:
     """One row per symbol, one column per timestamp, for reports.
 
-    The columns are the formatted timestamps. Without ``stamps`` they are read
-    from the panel, which then has to fit ``spark.sql.pivotMaxValues`` columns;
-    the tidy form has no such bound.
+    The columns are the formatted timestamps, so ``pattern`` has to tell them
+    apart: two timestamps with one label raise. Without ``stamps`` the columns are
+    read from the panel, which then has to fit ``spark.sql.pivotMaxValues``
+    columns; the tidy form has no such bound.
     """
+    label = F.date_format("ts", pattern).alias("label")
+    repeated = panel.rows.groupBy(label).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"several timestamps are labelled {repeated[0].label}; use a finer pattern")
     labels = list(stamps) if stamps is not None else report_stamps(panel, pattern)
     cells = panel.cells().withColumn("_label", F.date_format("ts", pattern))
     return (

@@ -51,11 +51,15 @@ def segment_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(_mean_price("o_totalprice"))
 
 
+_DELAYED = "cast(event_id % 7 = 0 as int)"
+#: Arrival numbers of events: every seventh arrives 40 places late, which makes late ticks.
+ARRIVAL = f"2 * (event_id + 40 * {_DELAYED}) + {_DELAYED}"
+
+
 def as_ticks(events: DataFrame) -> DataFrame:
-    """Events as ticks. Every seventh event arrives 40 places late, which makes late ticks."""
-    delayed = "cast(event_id % 7 = 0 as int)"
+    """Events as ticks."""
     return events.select(
-        F.expr(f"2 * (event_id + 40 * {delayed}) + {delayed}").alias("seq"),
+        F.expr(ARRIVAL).alias("seq"),
         F.col("event_type").alias("symbol"),
         F.col("value").alias("price"),
         F.expr("cast(get_json_object(props, '$.k') as double)").alias("size"),

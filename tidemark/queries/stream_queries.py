@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.bars import bars
 from tidemark.queries import bindings as b
 from tidemark.queries.panel_queries import _with
 from tidemark.session import use_utc, work_dir
@@ -13,6 +12,7 @@ from tidemark.schemas import with_utc
 from tidemark.sources.files import read_bar_store
 from tidemark.streaming import (
     ExactBarWriter,
+    batch_bars,
     compaction_writer,
     read_exact_bars,
     retention_writer,
@@ -21,13 +21,22 @@ from tidemark.streaming import (
 )
 
 
+#: Parts of the event table, in arrival order, each a micro-batch of so many files.
+PARTS, FILES = 4, 4
+
+
 def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole event table as a stream of several micro-batches in arrival order."""
     use_utc(spark)
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    # a pattern, since a stream reads folders and patterns but no single file
-    path = f"{sf_dir}/event[s].parquet"
-    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(path)
-    return b.as_ticks(with_utc(events)).withColumn("source", F.lit("feed"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    arrival = F.expr(b.ARRIVAL)
+    first, last = events.agg(F.min(arrival), F.max(arrival)).first()
+    path = work_dir(spark, "stream-events")
+    number = F.floor((arrival - F.lit(first)) * PARTS / F.lit(last - first + 1))
+    for part in range(PARTS):
+        events.where(number == part).repartition(FILES).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+    return b.as_ticks(with_utc(stream)).withColumn("source", F.lit("feed"))
 
 
 def _run_to_table(stream: DataFrame, label: str) -> DataFrame:
@@ -84,11 +93,16 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest 60 bars of each symbol, kept by the stream."""
     folder = work_dir(spark, "stream-retention")
 
-    def build(ticks: DataFrame, batch_id: int) -> None:
-        retention_writer(f"{folder}/log", (60,))(bars(ticks), batch_id)
+    build, keep = ExactBarWriter(f"{folder}/out"), retention_writer(f"{folder}/log", (60,))
+
+    def write(ticks: DataFrame, batch_id: int) -> None:
+        build(ticks, batch_id)
+        keep(batch_bars(spark, f"{folder}/out", batch_id), batch_id)
 
-    last = _run_batches(_tick_stream(spark, sf_dir), folder, build)
-    return spark.read.parquet(f"{folder}/log/newest_60/batch={last}")
+    last = _run_batches(_tick_stream(spark, sf_dir), folder, write)
+    # the bars still open at the end are flushed as one more batch
+    keep(batch_bars(spark, f"{folder}/out", last, still_open=True), last + 1)
+    return spark.read.parquet(f"{folder}/log/newest_60/batch={last + 1}")
 
 
 def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,12 +36,15 @@ def store_rows(bar_log: DataFrame, scale: int = SCALE) -> DataFrame:
 def _stored(bar_log: DataFrame, path: str) -> DataFrame | None:
     try:
         return bar_log.sparkSession.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        # a store that is there but cannot be read is not an empty one
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
 
 
 def persist_bars(bar_log: DataFrame, path: str, *, scale: int = SCALE) -> PersistResult:
-    """Merge bars into the store: one row per symbol and bar end, the new one winning.
+    """Merge bars into the store: one row per source, symbol and bar end, the new one winning.
 
     Only the hours touched are read and rewritten. The merged hours are staged
     in the shared working folder first, since a path cannot be read and
@@ -66,7 +69,8 @@ def persist_bars(bar_log: DataFrame, path: str, *, scale: int = SCALE) -> Persis
         hours = F.broadcast(touched) if _few(touched) else touched
         kept = stored.join(hours, ["date", "hour"], "left_semi")
         merged = merged.unionByName(kept.withColumn("_rank", F.lit(0)), allowMissingColumns=True)
-    keys = ["date", "hour", "symbol", "bar_end"]
+    names = [c for c in ("source", "symbol", "bar_end") if c in merged.columns]
+    keys = ["date", "hour", *names]
     rest = [c for c in merged.columns if c not in (*keys, "_rank")]
     newest = F.struct("_rank", F.coalesce(F.col("seq"), F.lit(0)) if "seq" in rest else F.lit(0))
     single = (
@@ -78,7 +82,7 @@ def persist_bars(bar_log: DataFrame, path: str, *, scale: int = SCALE) -> Persis
     single.write.parquet(stage_all)
 
     staged = spark.read.parquet(stage_all)
-    written = incoming.select("symbol", "bar_end").distinct().count()
+    written = incoming.select(*[c for c in names if c in incoming.columns]).distinct().count()
     (
         staged.hint("rebalance", "date", "hour")
         .write.mode("overwrite")

@@ -17,6 +17,7 @@ from tidemark.functions import (
     clean_text,
     epoch_to_timestamp,
     finite_or_null,
+    parse_day_optional,
     parse_iso_optional,
 )
 from tidemark.panel import ordered_unique
@@ -34,7 +35,7 @@ ARRAY_FATAL = ("auth_failed", "error", "failed")
 
 
 def _time(raw: Column, cutoffs: tuple[int, int, int]) -> Column:
-    return F.coalesce(epoch_to_timestamp(raw, cutoffs), parse_iso_optional(raw))
+    return F.coalesce(parse_day_optional(raw), epoch_to_timestamp(raw, cutoffs), parse_iso_optional(raw))
 
 
 def _number(raw: Column) -> Column:
@@ -75,13 +76,18 @@ def decode_object_feed(
 
     Fields have a long and a short name (symbol/s, price/p, timestamp/t). A
     size that is missing or no number is 0. Messages of symbols outside the
-    universe are dropped; a price or time that cannot be read is a reject. A
+    universe are dropped; a price or time that cannot be read is a reject, and so
+    is a message that is null or no JSON object (reason ``message``, no symbol). A
     fatal status gives an error row (seq, source, kind, message).
     """
     # inline keeps the parsed fields as columns, so a message is parsed once
-    parsed = messages.select(
-        "seq", "message", F.inline(F.array(F.from_json("message", OBJECT_FIELDS)))
-    ).withColumn("_fatal", F.coalesce(F.lower("status").isin(*OBJECT_FATAL), F.lit(False)))
+    read = F.from_json("message", OBJECT_FIELDS + ", _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    every = messages.select("seq", "message", F.inline(F.array(read))).withColumn(
+        "_broken", F.col("message").isNull() | F.col("_corrupt").isNotNull() | ~F.startswith(F.ltrim("message"), F.lit("{"))
+    )
+    parsed = every.where("not _broken").withColumn(
+        "_fatal", F.coalesce(F.lower("status").isin(*OBJECT_FATAL), F.lit(False))
+    )
     errors = parsed.where("_fatal").select(
         "seq", F.lit(source).alias("source"), F.lit("protocol_error").alias("kind"), "message"
     )
@@ -94,7 +100,14 @@ def decode_object_feed(
         "message",
     )
     ticks, rejects = _ticks(events, universe, source)
-    return ticks, rejects, errors
+    return ticks, rejects.unionByName(_unread(every.where("_broken"))), errors
+
+
+def _unread(broken: DataFrame) -> DataFrame:
+    """Rejects for messages that cannot be parsed at all."""
+    return broken.select(
+        "seq", F.lit(None).cast("string").alias("symbol"), F.lit("message").alias("reason"), "message"
+    )
 
 
 def decode_array_feed(
@@ -107,16 +120,22 @@ def decode_array_feed(
     """A JSON array of events, or one event, per message: ticks, rejects, errors.
 
     Trades have ``ev = 'T'``; a fatal ``status`` event gives an error row and
-    other events are skipped. ``seq`` becomes the message number times 2^20 plus
-    the position in the message, so events stay in arrival order.
+    other events are skipped. A message that is null or cannot be parsed to its end
+    is one reject (reason ``message``, its ``seq`` as for a first event), without its
+    readable events. ``seq`` becomes the message number times 2^20 plus the position
+    in the message, so events stay in arrival order.
     """
     text = F.trim("message")
     single = F.when(F.startswith(text, F.lit("[")), text).otherwise(
         F.concat(F.lit("["), text, F.lit("]"))
     )
-    events = messages.select(
-        "seq", "message", F.posexplode(F.from_json(single, f"array<struct<{_fields(ARRAY_FIELDS)}>>")).alias("_i", "e")
-    ).withColumn("seq", F.expr("seq * 1048576 + _i"))
+    read = F.from_json(single, f"array<struct<{_fields(ARRAY_FIELDS)}>>")
+    every = messages.select("seq", "message", F.posexplode_outer(read).alias("_i", "e")).withColumn(
+        "seq", F.expr("seq * 1048576 + coalesce(_i, 0)")
+    )
+    empty = F.coalesce(F.regexp_like("message", F.lit(r"^\s*\[\s*\]\s*$")), F.lit(False))
+    broken = every.where(F.col("e").isNull() & ~empty)
+    events = every.where(F.col("e").isNotNull())
     status = F.col("e.ev") == "status"
     errors = events.where(status & F.lower("e.status").isin(*ARRAY_FATAL)).select(
         "seq",
@@ -133,7 +152,7 @@ def decode_array_feed(
         "message",
     )
     ticks, rejects = _ticks(trades, universe, source)
-    return ticks, rejects, errors
+    return ticks, rejects.unionByName(_unread(broken)), errors
 
 
 def _fields(ddl: str) -> str:

@@ -96,7 +96,9 @@ def _written(spark: SparkSession, path: str, flush_batch: int | None) -> DataFra
     """Rows of finished bars and of late ticks; with ``flush_batch`` the open bars too."""
     try:
         rows = spark.read.schema(_PARTIAL + ", batch int").parquet(f"{path}/bars").drop("batch")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # no batch has been written yet
+            raise
         rows = spark.createDataFrame([], _PARTIAL)
     if flush_batch is not None:
         rows = rows.unionByName(
@@ -139,6 +141,29 @@ def read_exact_bars(
     )
 
 
+def batch_bars(
+    spark: SparkSession,
+    path: str,
+    batch_id: int,
+    width: str = "1 minute",
+    *,
+    scale: int = SCALE,
+    still_open: bool = False,
+) -> DataFrame:
+    """The bars that one micro-batch finished, or those open after it, with ``seq`` of their last tick."""
+    folder = "open" if still_open else "bars"
+    rows = spark.read.schema(_PARTIAL).parquet(f"{path}/{folder}/batch={batch_id}")
+    return rows.where("first_seq is not null").select(
+        "symbol",
+        "bar_start",
+        (F.col("bar_start") + F.expr(f"interval {width}")).alias("bar_end"),
+        *[to_fixed(F.col(c), scale).alias(f"{c}_fixed") for c in ("open", "high", "low", "close")],
+        bar_volume(F.col("size")).alias("volume"),
+        "source",
+        F.col("last_seq").alias("seq"),
+    )
+
+
 def read_late_ticks(spark: SparkSession, path: str, *, flush_batch: int | None = None) -> DataFrame:
     """(source, symbol, late_ticks): all dropped ticks, also those of bars that never were."""
     return _written(spark, path, flush_batch).groupBy(*_KEYS).agg(F.sum("late").alias("late_ticks"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,16 +26,13 @@ class _Retention:
             log = f"{self.path}/newest_{size}"
             held = bars
             if batch_id > 0:
-                try:
-                    held = spark.read.parquet(f"{log}/batch={batch_id - 1}").unionByName(bars)
-                except AnalysisException:
-                    pass
-            single = held.groupBy("symbol", "bar_end").agg(
-                F.max_by(
-                    F.struct(*[c for c in bars.columns if c not in ("symbol", "bar_end")]), "seq"
-                ).alias("_bar")
+                # every batch writes its logs, so those of the one before must be there
+                held = spark.read.schema(bars.schema).parquet(f"{log}/batch={batch_id - 1}").unionByName(bars)
+            keys = [c for c in ("source", "symbol", "bar_end") if c in bars.columns]
+            single = held.groupBy(*keys).agg(
+                F.max_by(F.struct(*[c for c in bars.columns if c not in keys]), "seq").alias("_bar")
             )
-            rows = single.select("symbol", "bar_end", "_bar.*").select(*bars.columns)
+            rows = single.select(*keys, "_bar.*").select(*bars.columns)
             retain_per_symbol(rows, size).write.mode("overwrite").parquet(
                 f"{log}/batch={batch_id}"
             )
@@ -45,7 +41,9 @@ class _Retention:
 def retention_writer(path: str, keep: tuple[int, ...] = (60, 500)) -> Writer:
     """Keep the newest bars of each symbol in one log per size.
 
-    A batch writes the logs as of that batch from those of the batch before,
+    The bars have to be finished: a bar that a later batch adds ticks to would be
+    replaced, not merged. :class:`ExactBarWriter` and its ``batch_bars`` give
+    finished bars. A batch writes the logs as of that batch from those of the batch before,
     so running it again gives the same logs. Bars carry ``seq``.
     """
     if any(size < 1 for size in keep):
