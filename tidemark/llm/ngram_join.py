@@ -7,10 +7,10 @@ them, hence one of any n - ceil(0.8 n) + 1; the rarest by corpus counts are take
 that cannot reach the bound that the two sizes set are dropped before overlaps are counted.
 
 The columns are dealt out by shingle; a column with very many rows is dealt to several tasks. Since
-components are wanted and not pairs, a column is not squared: first each of its rows meets one row,
-the column's centre, and the overlaps of these pairs give most links. Columns whose rows then
-still lie in several components are multiplied out between components, which finds every link
-that is left. No link between two components is missed, and no group of copies is paired up.
+components are wanted and not pairs, a column is not squared: first each of its rows meets a few
+rows, the column's centres, and the overlaps of these pairs give most links. Columns whose rows
+still lie in several components after some rounds are multiplied out between components, which
+finds every link that is left. No link between two components is missed, and no group of copies is paired up.
 """
 
 from __future__ import annotations
@@ -29,9 +29,11 @@ from tidemark.llm.common import slices, small_side, staged, whole
 from tidemark.llm.components import components
 
 #: Shingles are counted in 2^ORDER_BITS buckets; the counts only order columns from rare to frequent.
-ORDER_BITS = 16
+ORDER_BITS = 18
 #: Columns that may hold more rows than this are dealt to several tasks.
 COLUMN_ROWS = 8192
+#: Rows that the others of a column meet in one round, and rounds of meeting.
+CENTRES, ROUNDS = 4, 2
 
 
 class _Words(dict):
@@ -172,6 +174,30 @@ def _overlap_allows(a: str, b: str, percent: int) -> Column:
     return (100 + percent) * rest >= percent * (F.col(f"n_{a}") + F.col(f"n_{b}"))
 
 
+def _met_centres(lying: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(a, b): each row of a column with the column's centres, where they lie in different components.
+
+    Centres are the rows with the least hashes under CENTRES seeds; a column that was dealt to
+    several tasks has some in each, and those meet in one of them.
+    """
+    seeds = [F.lit(turn * CENTRES + k) for k in range(CENTRES)]
+    least = [F.min(F.struct(F.xxhash64("node", seed).alias("h"), "node", "n", "pos", "root")) for seed in seeds]
+    centres = lying.groupBy("column", "salt", "salts").agg(F.array_distinct(F.array(*least)).alias("c"))
+    here = lying.select("column", "salt", *[F.col(c).alias(f"{c}_own") for c in ("node", "n", "pos", "root")])
+    spread = centres.select("column", "salt", F.explode("c").alias("c"))
+    spread = spread.select("column", "salt", *[F.col(f"c.{c}").alias(f"{c}_centre") for c in ("node", "n", "pos", "root")])
+    near = here.join(spread, ["column", "salt"]).filter(
+        (F.col("root_own") != F.col("root_centre"))
+        & _sizes_allow(F.col("n_own"), F.col("n_centre"), percent)
+        & _overlap_allows("own", "centre", percent)
+    )
+    pairs = near.select(F.least("node_own", "node_centre").alias("a"), F.greatest("node_own", "node_centre").alias("b"))
+    parts = centres.filter("salts > 1").select("column", F.col("c")[0]["node"].alias("centre"))
+    tops = parts.groupBy("column").agg(F.min("centre").alias("top"))
+    across = parts.join(tops, "column").filter("top != centre").select(F.col("top").alias("a"), F.col("centre").alias("b"))
+    return pairs.union(across).distinct()
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose overlap is large enough, counted over all their shingles."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -209,44 +235,55 @@ def near_duplicates(
     firsts = small_side(classes.select(F.col("first_id").alias("fid")))
     chosen = texts.join(firsts, F.col("doc_id").eqNullSafe(F.col("fid")), "left_semi")
     postings = _postings(chosen, counts, size, percent)
-    column = W.partitionBy("column", "salt")
-    met = (
-        postings.withColumn("rows", F.count(F.lit(1)).over(column))
-        .withColumn("centre", F.min(F.struct("node", "n")).over(column))
-        .filter((F.col("rows") > 1) | (F.col("salts") > 1))
-        .select("column", "salts", "node", "n", "pos", F.col("centre.node").alias("centre"), F.col("centre.n").alias("n_centre"))
-    )
-    met = staged(met, "shingle-columns")
-    near = met.filter(_sizes_allow(F.col("n"), F.col("n_centre"), percent))
-    pairs = near.select(F.col("centre").alias("a"), F.col("node").alias("b"))
-    # the parts of a column that was dealt to several tasks meet in the least of their centres
-    parts = met.filter("salts > 1").select("column", "centre", "n_centre").distinct()
-    tops = parts.groupBy("column").agg(F.min("centre").alias("top"))
-    pairs = pairs.union(parts.join(tops, "column").select(F.col("top").alias("a"), F.col("centre").alias("b")))
-    pairs = staged(pairs.filter("a != b").distinct(), "shingle-pairs")
-
-    meeting = classes.join(met.select("node").distinct(), "node", "left_semi")
-    meeting_ids = staged(meeting.select(F.col("first_id").alias("fid")).distinct(), "shingle-meeting")
-    involved = texts.join(small_side(meeting_ids), F.col("doc_id").eqNullSafe(F.col("fid")), "left_semi")
-    sets = staged(_sets(involved, size).dropDuplicates(["node"]), "shingle-sets")
-
-    links = staged(_linked(pairs, sets, percent), "shingle-links")
-    joined = components(links)
-    # columns whose rows lie in several components: between these, every product
-    lying = met.join(small_side(staged(joined, "shingle-components")), "node", "left").select(
-        "column", "node", "n", "pos", F.coalesce("root", "node").alias("root")
-    )
-    per_root = lying.groupBy("column", "root").agg(F.count(F.lit(1)).alias("k"))
-    mixed = per_root.groupBy("column").agg(
-        F.max(F.struct("k", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("roots")
-    )
-    mixed = small_side(staged(mixed.filter("roots > 1").select("column", "main"), "shingle-mixed"))
-    across = staged(lying.join(mixed, "column"), "shingle-across")
+    part = W.partitionBy("column", "salt")
+    met = postings.withColumn("rows", F.count(F.lit(1)).over(part))
+    met = staged(met.filter((F.col("rows") > 1) | (F.col("salts") > 1)).drop("rows"), "shingle-columns")
+    held = met.groupBy("node").agg(F.max("n").alias("n"), F.collect_list("column").alias("columns"))
+    held = staged(held, "shingle-held")
+
+    def overlapping(candidates: DataFrame) -> DataFrame:
+        """The linked ones of the pairs (a, b).
+
+        Columns that both hold among their rarest bound the overlap: the others follow the rarest
+        of one of the two. Only what passes is compared by whole sets, made again from the texts.
+        """
+        left = held.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("columns").alias("c_a"))
+        right = held.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("columns").alias("c_b"))
+        others = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("n_a", "n_b")])
+        most = F.size(F.array_intersect("c_a", "c_b")) + others
+        both = candidates.join(right, "b").join(left, "a")
+        both = both.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+        both = staged(both, "shingle-candidates")
+        named = both.select(F.col("a").alias("node")).union(both.select(F.col("b").alias("node"))).distinct()
+        ids = staged(classes.join(named, "node", "left_semi").select(F.col("first_id").alias("fid")).distinct(), "shingle-named")
+        involved = texts.join(small_side(ids), F.col("doc_id").eqNullSafe(F.col("fid")), "left_semi")
+        sets = staged(_sets(involved, size), "shingle-sets")
+        # only ids that occur more than once can name a set twice
+        if sets.groupBy("node").count().filter("count > 1").limit(1).count():
+            sets = sets.dropDuplicates(["node"])
+        return _linked(both, sets, percent)
+
+    # each row of a column meets a few rows of it, chosen anew in each round; then only columns
+    # whose rows lie in several components go on
+    links, lying = None, met.withColumn("root", F.col("node"))
+    for turn in range(ROUNDS):
+        pairs = staged(_met_centres(lying, turn, percent), "shingle-pairs")
+        found = staged(overlapping(pairs), "shingle-links")
+        links = found if links is None else links.union(found)
+        joined = components(links)
+        lying = met.join(small_side(staged(joined, "shingle-components")), "node", "left")
+        lying = lying.withColumn("root", F.coalesce("root", "node"))
+        per_root = lying.groupBy("column", "root").agg(F.count(F.lit(1)).alias("k"))
+        mixed = per_root.groupBy("column").agg(
+            F.max(F.struct("k", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("roots")
+        )
+        mixed = small_side(staged(mixed.filter("roots > 1").select("column", "main"), "shingle-mixed"))
+        lying = staged(lying.join(mixed, "column"), "shingle-lying")
 
+    # between the components of a column, every product
     def side(x: str) -> DataFrame:
-        return across.select(
-            "column", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "pos", "root")], (F.col("root") == F.col("main")).alias(f"main_{x}")
-        )
+        own = [F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "pos", "root")]
+        return lying.select("column", *own, (F.col("root") == F.col("main")).alias(f"main_{x}"))
 
     few, every = side("a").filter(~F.col("main_a")), side("b")
     fit = (
@@ -257,7 +294,7 @@ def near_duplicates(
     )
     others = few.join(every, "column").filter(fit)
     others = staged(others.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "shingle-others")
-    more = staged(_linked(others, sets, percent), "shingle-more")
+    more = staged(overlapping(others), "shingle-more")
     if more.limit(1).count():
         joined = components(links.union(more))
 
