@@ -205,9 +205,13 @@ def panel_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly(spark, sf_dir).wide()
 
 
+#: The months that the line items' ship dates cover.
+MONTHS = [f"{year}-{month:02d}-01" for year in range(1995, 2002) for month in range(1, 13)]
+
+
 def wide_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per brand, one column per month."""
-    return transpose(densify(b.brand_prices(spark, sf_dir, "month"), b.BRANDS))
+    return transpose(densify(b.brand_prices(spark, sf_dir, "month"), b.BRANDS), MONTHS)
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -513,9 +517,9 @@ FROM z, (SELECT count(DISTINCT ts) AS n FROM z) t""",
     ),
     "wide_export": _with(
         b.brand_prices_sql("month") + "\n" + b.DENSE_SQL,
-        select="""SELECT * FROM (
-  PIVOT (SELECT symbol, strftime(ts, '%Y-%m-%d') AS label, price FROM dense)
-  ON label USING max(price) GROUP BY symbol)""",
+        select="SELECT symbol, "
+        + ", ".join(f"max(price) FILTER (WHERE strftime(ts, '%Y-%m-%d') = '{m}') AS \"{m}\"" for m in MONTHS)
+        + " FROM dense GROUP BY symbol",
     ),
     "csv_roundtrip": _with(
         b.brand_prices_sql("month") + "\n" + b.DENSE_SQL,
