@@ -97,3 +97,13 @@ def test_newest_row(spark):
     wide = prices(9, ["A", "B"])
     found = {r.symbol: r.value for r in latest_by_symbol(panel_of(spark, wide)).collect()}
     assert found == pytest.approx(wide.iloc[-1].to_dict())
+
+
+def test_latest_rows_are_read_by_time(spark):
+    wide = pd.DataFrame(np.arange(400.0).reshape(200, 2) + 1, index=days(200), columns=["A", "B"])
+    panel = panel_of(spark, wide).stored()
+    last = panel.last_rows(5)
+    assert sorted(r.values[0] for r in last.collect()) == [391.0, 393.0, 395.0, 397.0, 399.0]
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
+    assert panel.with_rows(panel.rows.limit(0)).last_rows(5).count() == 0

@@ -101,8 +101,17 @@ class Panel:
         return Panel(rows, names)
 
     def last_rows(self, n: int) -> DataFrame:
-        """The newest n rows. A distributed top-n; n is a window length."""
-        return self.rows.orderBy(F.col("ts").desc()).limit(n)
+        """The newest n rows; n is a window length.
+
+        The oldest of their timestamps is found from the timestamps alone, now, so
+        that the read of the values is filtered by time: stored rows are in time
+        order, and files and row groups before it are skipped.
+        """
+        newest = self.rows.select("ts").orderBy(F.col("ts").desc()).limit(n)
+        oldest = newest.agg(F.min("ts")).first()[0]
+        if oldest is None:
+            return self.rows.limit(0)
+        return self.rows.where(F.col("ts") >= F.lit(oldest)).orderBy(F.col("ts").desc()).limit(n)
 
 
 def densify(

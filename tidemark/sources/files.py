@@ -95,20 +95,24 @@ def read_bar_store(
 ) -> DataFrame:
     """The (date, hour) partitioned bar store; files may lack columns.
 
-    ``start`` and ``end`` are bar ends; they prune folders and filter rows.
+    ``start`` and ``end`` are bar ends; they prune the folders of days and hours and
+    filter rows.
     """
+    day, hour = F.col("date").cast("date"), F.col("hour").cast("int")
     reader = spark.read.option("mergeSchema", True).option(
         "ignoreCorruptFiles", skip_unreadable
     )
     store = reader.parquet(path)
     if start is not None:
         store = store.where(
-            (F.col("date").cast("date") >= F.to_date(F.lit(start)))
+            (day >= F.to_date(F.lit(start)))
+            & ((day > F.to_date(F.lit(start))) | (hour >= F.hour(F.lit(start).cast("timestamp"))))
             & (F.col("bar_end").cast("timestamp") >= F.lit(start))
         )
     if end is not None:
         store = store.where(
-            (F.col("date").cast("date") <= F.to_date(F.lit(end)))
+            (day <= F.to_date(F.lit(end)))
+            & ((day < F.to_date(F.lit(end))) | (hour <= F.hour(F.lit(end).cast("timestamp"))))
             & (F.col("bar_end").cast("timestamp") <= F.lit(end))
         )
     return store
