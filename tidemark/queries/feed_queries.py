@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import epoch_to_timestamp, parse_iso_optional, run_label, run_stamp
+from tidemark.functions import epoch_to_timestamp, parse_iso, parse_iso_optional, run_label, run_stamp
 from tidemark.operators.bars import bars
 from tidemark.operators.quality import (
     feed_scores,
@@ -188,9 +188,9 @@ def epoch_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.select("event_id", "unit", epoch_to_timestamp(F.col("raw")).alias("ts"))
 
 
-def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _iso_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times as ISO text with Z, with an offset, bare, and broken."""
-    written = b.table(spark, sf_dir, "events").select(
+    return b.table(spark, sf_dir, "events").select(
         "event_id",
         F.expr(
             """stack(4,
@@ -200,7 +200,17 @@ def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
   'broken', concat('on ', date_format(ts, "yyyy-MM-dd"))) as (form, raw)"""
         ),
     )
-    return written.select("event_id", "form", parse_iso_optional(F.col("raw")).alias("ts"))
+
+
+def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All forms read with NULL for the broken one."""
+    return _iso_texts(spark, sf_dir).select("event_id", "form", parse_iso_optional(F.col("raw")).alias("ts"))
+
+
+def iso_times_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readable forms read by the parser that raises on others."""
+    whole = _iso_texts(spark, sf_dir).where("form <> 'broken'")
+    return whole.select("event_id", "form", parse_iso(F.col("raw")).alias("ts"))
 
 
 def run_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,6 +237,7 @@ QUERIES = {
     "decode_array_feed_errors": array_feed_errors,
     "epoch_units": epoch_units,
     "iso_times": iso_times,
+    "iso_times_strict": iso_times_strict,
     "run_labels": run_labels,
 }
 
@@ -342,6 +353,8 @@ SELECT event_id, 'ns', CAST(ts AS TIMESTAMP) FROM events""",
     "iso_times": """SELECT e.event_id, f.form,
   CASE WHEN f.form <> 'broken' THEN CAST(date_trunc('second', e.ts) AS TIMESTAMP) END AS ts
 FROM events e CROSS JOIN (SELECT unnest(['zulu', 'offset', 'bare', 'broken']) AS form) f""",
+    "iso_times_strict": """SELECT e.event_id, f.form, CAST(date_trunc('second', e.ts) AS TIMESTAMP) AS ts
+FROM events e CROSS JOIN (SELECT unnest(['zulu', 'offset', 'bare']) AS form) f""",
     "run_labels": """WITH h AS (SELECT DISTINCT date_trunc('hour', ts) AS t FROM events)
 SELECT DISTINCT strftime(t, '%Y%m%d_%H%M%S') AS name, strftime(t, '%Y-%m-%d  %H:%M:%S UTC') AS label FROM h UNION ALL
 SELECT DISTINCT strftime(t, '%Y-%m-%d'), strftime(t, '%Y-%m-%d') FROM h""",
