@@ -44,7 +44,7 @@ class Coder:
         mean = sample.mean(axis=0)
         centred = sample - mean
         dims = sample.shape[1]
-        _, _, axes = np.linalg.svd(centred, full_matrices=True) if len(sample) >= dims else (0, 0, np.eye(dims))
+        axes = np.linalg.eigh(centred.T @ centred)[1].T[::-1]
         rotations = []
         for _ in range(-(-bits // dims)):
             turn, _ = np.linalg.qr(rng.normal(size=(dims, dims)))
