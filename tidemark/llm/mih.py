@@ -66,51 +66,42 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
 
 
-def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distances of all rows of ``a`` to those of ``b`` that stand beside them."""
-    return _ONES[a ^ b].sum(axis=-1, dtype=np.int32)
-
-
 class MultiIndex:
     """One index for each substring over the codes of a block."""
 
     def __init__(self, codes: np.ndarray):
         self.codes, self.m = codes, codes.shape[1]
-        self.order = [np.argsort(codes[:, j], kind="stable") for j in range(self.m)]
-        self.values, self.sizes = [], []
-        for j, order in enumerate(self.order):
-            values, sizes = np.unique(codes[order, j], return_counts=True)
-            self.values.append(values)
-            self.sizes.append(sizes)
-
-    def apart(self, code: np.ndarray) -> list[np.ndarray]:
-        """For each substring, how many bits each occupied bucket is away from the code's."""
-        return [_ONES[values ^ part] for values, part in zip(self.values, code)]
+        # of each substring the buckets that are occupied, and the bucket of each row
+        self.buckets = [np.unique(codes[:, j], return_inverse=True) for j in range(self.m)]
 
-    def probe(self, apart: list[np.ndarray], flips: int, found: np.ndarray) -> None:
-        """Marks the rows of the buckets that are exactly ``flips`` bits away in some substring.
+    def probe(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each row, by how many flipped bits of some substring its bucket is reached, and its distance.
 
-        Occupied buckets are fewer than the patterns of that many flipped bits, so they are gone through.
+        Occupied buckets are fewer than the patterns of flipped bits, so each is compared with the
+        code once; the bits of a row's buckets add up to its Hamming distance.
         """
-        for order, sizes, bits in zip(self.order, self.sizes, apart):
-            found[order[np.repeat(bits == flips, sizes)]] = True
+        reached = np.full(len(self.codes), PART + 1, np.uint8)
+        distance = np.zeros(len(self.codes), np.uint16)
+        for (values, bucket), part in zip(self.buckets, code):
+            bits = _ONES[values ^ part][bucket]
+            np.minimum(reached, bits, out=reached)
+            distance += bits
+        return reached, distance
 
     def ball(self, code: np.ndarray, enough: int) -> np.ndarray:
         """All rows within the smallest radius that holds ``enough`` rows, all rows if there are fewer."""
-        found = np.zeros(len(self.codes), bool)
-        if enough >= len(found):
-            return np.arange(len(found))
-        apart = self.apart(code)
-        for flips in range(PART + 1):
-            self.probe(apart, flips, found)
+        if enough >= len(self.codes):
+            return np.arange(len(self.codes))
+        reached, distance = self.probe(code)
+        probed = np.cumsum(np.bincount(reached, minlength=PART + 1))
+        # fewer probed rows than are wanted cannot hold them
+        for flips in range(int(np.searchsorted(probed, enough)), PART + 1):
             # every code within this radius has been probed
             radius = self.m * (flips + 1) - 1
-            rows = np.flatnonzero(found)
-            if len(rows) >= enough:
-                distance = hamming(self.codes[rows], code)
-                if (distance <= radius).sum() >= enough:
-                    return rows[distance <= np.partition(distance, enough - 1)[enough - 1]]
-        return np.arange(len(found))
+            near = distance[(reached <= flips) & (distance <= radius)]
+            if len(near) >= enough:
+                return np.flatnonzero(distance <= np.partition(near, enough - 1)[enough - 1])
+        return np.arange(len(self.codes))
 
 
 def _dense(index: MultiIndex, codes: np.ndarray, vectors: np.ndarray, rows: np.ndarray, enough: int, k: int):
