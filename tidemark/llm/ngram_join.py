@@ -40,7 +40,7 @@ class _Words(dict):
     """64-bit hashes of words, held up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 150_000:
             self.clear()
         self[word] = code = xxhash.xxh3_64_intdigest(word)
         return code
@@ -92,21 +92,21 @@ def _rows(docs: DataFrame, size: int) -> DataFrame:
                 np.add.at(seen, own >> np.uint64(64 - ORDER_BITS), 1)
             ids = batch.column("doc_id")
             none = pa.nulls(len(n), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), none], ["doc_id", "n", "node", "seen"]
-            )
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), none, none], names)
         if ids is not None:
             columns = [pa.nulls(1, ids.type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
-            columns.append(pa.array([seen], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "seen"])
+            buckets = np.flatnonzero(seen)
+            columns += [pa.array([x], pa.list_(pa.int64())) for x in (buckets, seen[buckets])]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(run, f"doc_id {kind.simpleString()}, n long, node binary, seen array<long>")
+    names = ["doc_id", "n", "node", "bucket", "seen"]
+    return docs.mapInArrow(run, f"doc_id {kind.simpleString()}, n long, node binary, bucket array<long>, seen array<long>")
 
 
 def _bucket_counts(rows: DataFrame) -> np.ndarray:
     """Counts of all shingles by bucket: 2^ORDER_BITS numbers, whatever the size of the corpus."""
-    each = rows.filter(F.col("seen").isNotNull()).select(F.posexplode("seen").alias("bucket", "k"))
-    found = each.filter("k > 0").groupBy("bucket").agg(F.sum("k").alias("k")).toPandas()
+    each = rows.filter(F.col("seen").isNotNull()).select(F.explode(F.arrays_zip("bucket", "seen")).alias("x"))
+    found = each.groupBy(F.col("x.bucket").alias("bucket")).agg(F.sum("x.seen").alias("k")).toPandas()
     counts = np.zeros(1 << ORDER_BITS, np.int64)
     counts[found["bucket"].to_numpy()] = found["k"].to_numpy()
     return counts
