@@ -88,6 +88,28 @@ def test_context_values():
     assert values("password=Zk7-pQw3_Rt9x") == []  # a base span covers it
 
 
+def values_of(text):
+    return [text[a:b] for a, k, b in secrets.Scanner()(text)[0] if k == 3]
+
+
+@pytest.mark.parametrize("text", [
+    "Authorization: Bearer {}", "authorization = basic\t{}", "login password is {}", "credentials password is {}",
+    "secret password {}", "login secret:\n{}", 'login "password" is "{}"', "pin: the {}", "login pwd={}", "pwd\t\tis\n{}",
+    "login password secret token pin {}", "login:password:{}",
+])
+def test_stacked_contexts(text):
+    for value in ("x9$kQ2!vLp", "Tr0ub4dor&3x"):
+        text_ = text.format(value) + ", he said"
+        assert value not in secrets.redacted(text_, secrets.Scanner()(text_)[0])
+        assert set(values_of(text_)) <= {value}
+    assert values_of(text.format("password") + " here") == []
+
+
+def test_many_contexts_in_linear_time():
+    for unit in ("token=", "login:a;", "pin ", "secret is ", "login " + " " * 50):
+        secrets.Scanner()(unit * (200_000 // len(unit)))
+
+
 def test_redacted():
     text = 'é token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" end'
     assert secrets.redacted(text, secrets.Scanner()(text)[0]) == 'é <secret>" end'

@@ -27,16 +27,21 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
-#: A credential word, up to three short filler words or a sign, and the value (group 1).
-_CONTEXT = re.compile(
-    r"""(?<![A-Za-z0-9])
+_CREDENTIAL = r"""(?<![A-Za-z0-9])
         (?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|(?:private|access|client|secret|auth)[_-]?key
-          |credentials?|bearer|authorization|pin|login)
-        ["']? (?:\x20+(?:is|was|to|of|for|as|set|basic|bearer|the)\b){0,3}
-        (?:\x20*[:=]{1,2}>?\x20*|\x20+)["'`]?
-        ([!-&(-+\x2d-~]{6,})""",
+          |credentials?|bearer|authorization|pin|login)"""
+_FILLER = "(?:is|was|to|of|for|as|set|basic|bearer|the)"
+#: A credential word; ahead of it up to three short filler words, a sign or white space, and up to three
+#: more fillers (group 1), then a value. Only the word is consumed, so contexts may be stacked. A
+#: credential word is no value: it has a context of its own.
+_CONTEXT = re.compile(
+    rf"""{_CREDENTIAL}
+        (?=(["']? (?:\s+{_FILLER}\b){{0,3}} (?:\s*+[:=]{{1,2}}+>?+\s*+|\s++) (?:{_FILLER}\s++){{0,3}}+ ["'`]?+)
+           (?!["'`]? {_CREDENTIAL} (?:["'`]?[:=]|["'`.,;)>\]}}!?]*+(?:\s|\Z)))
+           [!-&(-+\x2d-~]{{6}})""",
     re.ASCII | re.IGNORECASE | re.VERBOSE,
 )
+_VALUE = re.compile(r"[!-&(-+\x2d-~]+")
 #: user:value@host in an address.
 _ADDRESS = re.compile(r"://[^\s/:@]{1,64}:([^\s/:@]{4,256})@")
 
@@ -181,19 +186,35 @@ class Scanner:
     def __init__(self, least_log10: float = 9.0, words: Sequence[str] = COMMON_WORDS):
         self.cost, self.least = GuessCost(words), least_log10
 
+    def values(self, text: str) -> Iterator[tuple[int, int]]:
+        """(start, end) of what follows credential words and of passwords in addresses; values that
+        share a run of characters follow each other."""
+        end = 0
+        for m in _CONTEXT.finditer(text):
+            start = m.end(1)
+            if start >= end:
+                end = _VALUE.match(text, start).end()
+            yield start, end
+        for m in _ADDRESS.finditer(text):
+            yield m.span(1)
+
     def guessed(self, text: str) -> Iterator[tuple[int, int, int, float]]:
-        for pattern in (_CONTEXT, _ADDRESS):
-            for m in pattern.finditer(text):
-                start, end = m.span(1)
-                while end > start and text[end - 1] in "\"'`.,;:)>]}!?":
-                    end -= 1
-                value = text[start:end]
-                # prose follows credential words too: a lone lower-case word is no value
-                if len(value) < 6 or value.isalpha() and (value.islower() or value.istitle()):
-                    continue
-                cost = self.cost(value)
-                if cost >= self.least:
-                    yield start, 3, end, cost
+        told = (0, 0)
+        for start, end in self.values(text):
+            # a context within a value that counts adds nothing
+            if told[0] <= start < told[1]:
+                continue
+            reach = end
+            while end > start and text[end - 1] in "\"'`.,;:)>]}!?":
+                end -= 1
+            value = text[start:end]
+            # prose follows credential words too: a lone lower-case word is no value
+            if len(value) < 6 or value.isalpha() and (value.islower() or value.istitle()):
+                continue
+            cost = self.cost(value)
+            if cost >= self.least:
+                told = start, reach
+                yield start, 3, end, cost
 
     def __call__(self, text: str) -> tuple[list[tuple[int, int, int]], float]:
         """All spans by start and kind, and the highest cost found. Base spans always stay; a method's
