@@ -105,6 +105,17 @@ def test_stacked_contexts(text):
     assert values_of(text.format("password") + " here") == []
 
 
+@pytest.mark.parametrize("text", [
+    "pwd = {}", "passphrase: {}", 'the login is "{}"', "credentials '{}'", "pin is := {}", "https://bob:{}@host/",
+])
+def test_letters_only(text):
+    for value in ("kzqvwxjrtmbf", "Kzqvwxjrtmbf"):
+        assert values_of(text.format(value)) == [value]
+    for value in ("december", "Welcome", "sunshine"):
+        assert values_of(text.format(value)) == []
+    assert values_of("the login kzqvwxjrtmbf") == []  # as prose: the stated exclusion
+
+
 def test_many_contexts_in_linear_time():
     for unit in ("token=", "login:a;", "pin ", "secret is ", "login " + " " * 50):
         secrets.Scanner()(unit * (200_000 // len(unit)))

@@ -186,21 +186,21 @@ class Scanner:
     def __init__(self, least_log10: float = 9.0, words: Sequence[str] = COMMON_WORDS):
         self.cost, self.least = GuessCost(words), least_log10
 
-    def values(self, text: str) -> Iterator[tuple[int, int]]:
-        """(start, end) of what follows credential words and of passwords in addresses; values that
-        share a run of characters follow each other."""
+    def values(self, text: str) -> Iterator[tuple[int, int, bool]]:
+        """(start, end, stated) of what follows credential words and of passwords in addresses; values
+        that share a run of characters follow each other. Stated: after a sign, in quotes or in an address."""
         end = 0
         for m in _CONTEXT.finditer(text):
             start = m.end(1)
             if start >= end:
                 end = _VALUE.match(text, start).end()
-            yield start, end
+            yield start, end, m[1][-1] in "\"'`" or ":" in m[1] or "=" in m[1]
         for m in _ADDRESS.finditer(text):
-            yield m.span(1)
+            yield *m.span(1), True
 
     def guessed(self, text: str) -> Iterator[tuple[int, int, int, float]]:
         told = (0, 0)
-        for start, end in self.values(text):
+        for start, end, stated in self.values(text):
             # a context within a value that counts adds nothing
             if told[0] <= start < told[1]:
                 continue
@@ -208,8 +208,8 @@ class Scanner:
             while end > start and text[end - 1] in "\"'`.,;:)>]}!?":
                 end -= 1
             value = text[start:end]
-            # prose follows credential words too: a lone lower-case word is no value
-            if len(value) < 6 or value.isalpha() and (value.islower() or value.istitle()):
+            # prose follows credential words too: there a lone lower-case word is no value
+            if len(value) < 6 or not stated and value.isalpha() and (value.islower() or value.istitle()):
                 continue
             cost = self.cost(value)
             if cost >= self.least:
