@@ -116,6 +116,14 @@ def test_letters_only(text):
     assert values_of("the login kzqvwxjrtmbf") == []  # as prose: the stated exclusion
 
 
+def test_long_addresses():
+    token = "".join(hashlib.sha256(bytes([i])).hexdigest().upper() for i in range(40))
+    for user, value in (("x-token-auth", token[:300]), ("u" * 100, token[:300]), ("u" * 100_000, token)):
+        assert values_of(f"see https://{user}:{value}@host/x") == [value]
+    for unit in ("://", "://u:", "://" + "u" * 50 + ":" + "p" * 50):
+        secrets.Scanner()(unit * (1_000_000 // len(unit)))
+
+
 def test_many_contexts_in_linear_time():
     for unit in ("token=", "login:a;", "pin ", "secret is ", "login " + " " * 50):
         secrets.Scanner()(unit * (200_000 // len(unit)))

@@ -42,8 +42,9 @@ _CONTEXT = re.compile(
     re.ASCII | re.IGNORECASE | re.VERBOSE,
 )
 _VALUE = re.compile(r"[!-&(-+\x2d-~]+")
-#: user:value@host in an address.
-_ADDRESS = re.compile(r"://[^\s/:@]{1,64}:([^\s/:@]{4,256})@")
+#: user:value@host in an address; both of any length. The classes leave out what ends them, so no
+#: character is read for two addresses.
+_ADDRESS = re.compile(r"://[^\s/:@]++:([^\s/:@]{4,}+)@")
 
 #: Common parts of passwords, most frequent first; the rank is the number of guesses.
 COMMON_WORDS = (
