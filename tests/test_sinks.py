@@ -176,6 +176,19 @@ def test_repeated_report_labels_raise(spark):
     assert transpose(panel, pattern="HHmm").columns == ["symbol", "1000", "1001", "1002"]
 
 
+def test_report_raises_on_a_timestamp_that_is_not_stated(spark):
+    from tidemark.operators.shape import transpose
+    from tidemark.panel import densify
+
+    rows = [("A", datetime(2026, 4, 5, 10, m), float(m)) for m in range(3)]
+    panel = densify(spark.createDataFrame(rows, "symbol string, ts timestamp, price double"), ["A"])
+    for stamps in (["1000", "1001"], []):
+        with pytest.raises(ValueError, match="not among"):
+            transpose(panel, stamps, "HHmm")
+    found = transpose(panel, ["0959", "1000", "1001", "1002"], "HHmm").collect()
+    assert [tuple(r) for r in found] == [("A", None, 0.0, 1.0, 2.0)]
+
+
 def test_store_keeps_the_bars_of_each_source(spark, tmp_path):
     from tidemark.functions import to_fixed
     from tidemark.sinks.bar_store import persist_bars

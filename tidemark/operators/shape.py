@@ -69,8 +69,8 @@ def transpose(
     """One row per symbol, one column per timestamp, for reports.
 
     The columns are the formatted timestamps, so ``pattern`` has to tell them
-    apart: two timestamps with one label raise. Without ``stamps`` the columns are
-    read from the panel, which then has to fit ``spark.sql.pivotMaxValues``
+    apart: two timestamps with one label raise, and so does a timestamp that is not
+    among ``stamps``. Without ``stamps`` the columns are read from the panel, which then has to fit ``spark.sql.pivotMaxValues``
     columns; the tidy form has no such bound.
     """
     label = F.date_format("ts", pattern).alias("label")
@@ -78,6 +78,10 @@ def transpose(
     if repeated:
         raise ValueError(f"several timestamps are labelled {repeated[0].label}; use a finer pattern")
     labels = list(stamps) if stamps is not None else report_stamps(panel, pattern)
+    if stamps is not None:
+        unknown = panel.rows.select(label).where(~F.col("label").isin(labels)).limit(1).collect()
+        if unknown:
+            raise ValueError(f"the timestamp {unknown[0].label} is not among the stated ones")
     cells = panel.cells().withColumn("_label", F.date_format("ts", pattern))
     return (
         cells.groupBy("pos")
