@@ -41,6 +41,25 @@ def test_ball_is_exact():
         assert sorted(index.ball(code, enough)) == np.flatnonzero(distance <= radius).tolist()
 
 
+def test_only_buckets_of_the_ball_are_looked_up(monkeypatch):
+    rng = np.random.default_rng(3)
+    # a cluster around one code, all others far from it in every substring
+    centre = rng.integers(0, 1 << 16, 16).astype(np.uint16)
+    cluster = np.repeat(centre[None], 40, 0) ^ (np.arange(40)[:, None] == np.arange(16)).astype(np.uint16)
+    far = ~centre ^ (1 << rng.integers(0, 16, (2000, 16))).astype(np.uint16)
+    index = mih.MultiIndex(np.concatenate([far, cluster]))
+    probe, touched = index.probe, set()
+
+    def seen(*args):
+        rows = probe(*args)
+        touched.update(rows.tolist())
+        return rows
+
+    monkeypatch.setattr(index, "probe", seen)
+    assert index.ball(centre, 40).tolist() == list(range(2000, 2040))
+    assert touched == set(range(2000, 2040))
+
+
 def test_small_table_is_exact(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=8).astype(np.float32).tolist(), i % 3) for i in range(300)]

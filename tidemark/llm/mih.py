@@ -5,7 +5,8 @@ Vectors are scaled to unit length and coded by several rotations learned on a bo
 cut into substrings of 16 bits and each substring of a block of rows has an index of its own. Two
 codes within a Hamming radius r agree within r // m bits in one of the m substrings, so probing
 every substring within that many bits finds every code of the ball. The radius of a query grows
-until its ball holds ``enough`` codes of the block; these are ranked by inner products of the
+until its ball holds ``enough`` codes of the block, found by a scan of the codes once that costs less
+than more lookups; these are ranked by inner products of the
 original vectors in double precision.
 
 Rows and queries are dealt out in blocks and each pair of blocks is one group of bounded size.
@@ -29,6 +30,10 @@ from tidemark.llm.common import staged
 #: Bits of a substring.
 PART = 16
 _ONES = np.array([bin(i).count("1") for i in range(1 << PART)], np.uint8)
+#: A block is scanned instead of probed once a step needs more lookups than this part of its rows.
+SCAN_SHARE = 16
+#: The patterns of flipped bits by their number.
+_FLIPS = [np.flatnonzero(_ONES == flips) for flips in range(PART + 1)]
 
 
 @dataclass
@@ -71,37 +76,53 @@ class MultiIndex:
 
     def __init__(self, codes: np.ndarray):
         self.codes, self.m = codes, codes.shape[1]
-        # of each substring the buckets that are occupied, and the bucket of each row
-        self.buckets = [np.unique(codes[:, j], return_inverse=True) for j in range(self.m)]
-
-    def probe(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each row, by how many flipped bits of some substring its bucket is reached, and its distance.
-
-        Occupied buckets are fewer than the patterns of flipped bits, so each is compared with the
-        code once; the bits of a row's buckets add up to its Hamming distance.
-        """
-        reached = np.full(len(self.codes), PART + 1, np.uint8)
-        distance = np.zeros(len(self.codes), np.uint16)
-        for (values, bucket), part in zip(self.buckets, code):
-            bits = _ONES[values ^ part][bucket]
-            np.minimum(reached, bits, out=reached)
-            distance += bits
-        return reached, distance
+        # of each substring the rows by value, where those of a value start, and the values that occur
+        self.rows = [np.argsort(codes[:, j], kind="stable") for j in range(self.m)]
+        self.starts = [np.searchsorted(codes[r, j], np.arange((1 << PART) + 1)) for j, r in enumerate(self.rows)]
+        self.values = [np.flatnonzero(np.diff(s)) for s in self.starts]
+        self.columns = np.ascontiguousarray(codes.T)
+
+    def probe(self, code: np.ndarray, flips: int) -> np.ndarray:
+        """The rows in the buckets of some substring with so many flipped bits; repeated if in several."""
+        found = []
+        for rows, starts, values, part in zip(self.rows, self.starts, self.values, code):
+            # the patterns of flipped bits, or the occupied buckets if they are fewer
+            if len(_FLIPS[flips]) <= len(values):
+                wanted = _FLIPS[flips] ^ int(part)
+            else:
+                wanted = values[_ONES[values ^ int(part)] == flips]
+            low = starts[wanted]
+            sizes = starts[wanted + 1] - low
+            # the places of all postings: each bucket counts on from its start
+            ends = np.cumsum(sizes)
+            total = int(ends[-1]) if len(ends) else 0
+            found.append(rows[np.repeat(low - ends + sizes, sizes) + np.arange(total)])
+        return np.concatenate(found)
 
     def ball(self, code: np.ndarray, enough: int) -> np.ndarray:
         """All rows within the smallest radius that holds ``enough`` rows, all rows if there are fewer."""
         if enough >= len(self.codes):
             return np.arange(len(self.codes))
-        reached, distance = self.probe(code)
-        probed = np.cumsum(np.bincount(reached, minlength=PART + 1))
-        # fewer probed rows than are wanted cannot hold them
-        for flips in range(int(np.searchsorted(probed, enough)), PART + 1):
+        probed = np.zeros(len(self.codes), bool)
+        rows, distance = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for flips in range(PART + 1):
+            # beyond that many lookups a scan of the codes costs less
+            if self.m * len(_FLIPS[flips]) > len(self.codes) / SCAN_SHARE:
+                break
+            reached = np.zeros(len(self.codes), bool)
+            reached[self.probe(code, flips)] = True
+            new = np.flatnonzero(reached & ~probed)
+            probed[new] = True
+            rows = np.concatenate([rows, new])
+            distance = np.concatenate([distance, _ONES[self.codes[new] ^ code].sum(axis=1, dtype=np.int64)])
             # every code within this radius has been probed
-            radius = self.m * (flips + 1) - 1
-            near = distance[(reached <= flips) & (distance <= radius)]
+            near = distance[distance <= self.m * (flips + 1) - 1]
             if len(near) >= enough:
-                return np.flatnonzero(distance <= np.partition(near, enough - 1)[enough - 1])
-        return np.arange(len(self.codes))
+                return np.sort(rows[distance <= np.partition(near, enough - 1)[enough - 1]])
+        distance = np.zeros(len(self.codes), np.uint16)
+        for column, part in zip(self.columns, code):
+            distance += _ONES[column ^ part]
+        return np.flatnonzero(distance <= np.partition(distance, enough - 1)[enough - 1])
 
 
 def _dense(index: MultiIndex, codes: np.ndarray, vectors: np.ndarray, rows: np.ndarray, enough: int, k: int):
