@@ -8,7 +8,26 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, cotrain, crf_html, mih, ngram_join, ngram_join_sql, pareto, pareto_sql, pst, rules, rules_sql, secrets, toxicity
+from tidemark.llm import (
+    bpe,
+    cotrain,
+    crf_html,
+    mih,
+    near_dedup,
+    near_dedup_sql,
+    ngram_join,
+    ngram_join_sql,
+    pareto,
+    pareto_sql,
+    prefix_trie,
+    prefix_trie_sql,
+    pst,
+    repair,
+    rules,
+    rules_sql,
+    secrets,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +108,20 @@ def op10_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_html.extract(pages, crf_html.fit(pages))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"), rebuild=True)
+    return nodes.drop("node", "parent")
+
+
+def op12_bottom_k_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair.audit(repair.damage(conversations), conversations)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_tree_scores": op2_suffix_tree_scores,
@@ -100,10 +133,15 @@ QUERIES: dict[str, Query] = {
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_quality_rules": op9_quality_rules,
     "op10_crf_main_text": op10_crf_main_text,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_bottom_k_dedup": op12_bottom_k_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL: dict[str, str] = {
     "op3_ngram_jaccard_join": ngram_join_sql.SQL,
     "op7_pareto_mix": pareto_sql.mix_sql(),
     "op9_quality_rules": rules_sql.SQL,
+    "op11_prefix_trie": prefix_trie_sql.SQL,
+    "op12_bottom_k_dedup": near_dedup_sql.SQL,
 }
