@@ -170,3 +170,42 @@ def test_compaction_and_events(spark, tmp_path):
     log(spark.createDataFrame([("gap",)], "event string"), 0)
     assert spark.read.json(str(tmp_path / "events")).count() == 1
     assert event_rows(spark.createDataFrame([("gap",)], "event string"), at(0)).first().logged_at == at(0)
+
+
+def test_clock_closes_bars_of_the_exact_writer(spark, tmp_path):
+    """Three batches; the second has no ticks. A late tick does not reopen what the clock closed."""
+    times = [at(150), at(400), at(420)]
+    writer = ExactBarWriter(str(tmp_path / "clock"), clock=lambda batch: times[batch])
+    first = [(1, "A", 10.0, 1.0, at(5), "feed"), (2, "B", 20.0, 1.0, at(130), "feed"), (3, "A", 11.0, 2.0, at(30), "feed")]
+    beat = [(4, None, None, None, at(300), "feed")]
+    last = [
+        (5, "B", 99.0, 1.0, at(170), "feed"),  # its bar was closed by the clock in the second batch
+        (6, "B", 21.0, 1.0, at(390), "feed"),
+        (7, "A", 98.0, 1.0, at(40), "feed"),  # closed in the first batch
+        (8, "A", 12.0, 4.0, at(70), "feed"),  # a bar that never was, after the closed one
+    ]
+    writer(spark.createDataFrame(first, TICK), 0)
+    done = read_exact_bars(spark, writer.path).collect()
+    assert [(r.symbol, r.bar_start, r.volume) for r in done] == [("A", at(0), 3)]
+    writer(spark.createDataFrame(beat, TICK), 1)
+    assert {(r.symbol, r.bar_start) for r in read_exact_bars(spark, writer.path).collect()} == {("A", at(0)), ("B", at(120))}
+    for _ in range(2):  # a repeated batch changes nothing
+        writer(spark.createDataFrame(last, TICK), 2)
+    expected = [("A", at(0), 3, 1), ("A", at(60), 4, 0), ("B", at(120), 1, 1), ("B", at(360), 1, 0)]
+
+    def found(flush=None):
+        bars = read_exact_bars(spark, writer.path, flush_batch=flush).collect()
+        return sorted((r.symbol, r.bar_start, r.volume, r.late_ticks) for r in bars)
+
+    assert found() == expected
+    late = {r.symbol: r.late_ticks for r in read_late_ticks(spark, writer.path).collect()}
+    assert late == {"A": 1, "B": 1}
+    before = found(flush=2)
+    writer.compact(spark, 1)
+    writer.compact(spark, 2)
+    assert found() == expected and found(flush=2) == before
+    assert [p.name for p in (tmp_path / "clock" / "log").iterdir()] == ["batch=2"]
+    assert [p.name for p in (tmp_path / "clock" / "store").iterdir()] == ["through=2"]
+    writer = ExactBarWriter(writer.path, clock=lambda batch: at(900))
+    writer(spark.createDataFrame([], TICK), 3)
+    assert found() == expected

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,16 +27,25 @@ from tidemark.streaming import (
 PARTS, FILES = 4, 4
 
 
-def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole event table as a stream of several micro-batches in arrival order."""
+def _part(arrival, first: int, last: int):
+    return F.floor((arrival - F.lit(first)) * PARTS / F.lit(last - first + 1))
+
+
+def _tick_stream(spark: SparkSession, sf_dir: str, idle: bool = False) -> DataFrame:
+    """The whole event table as a stream of several micro-batches in arrival order.
+
+    ``idle`` adds a last micro-batch without ticks.
+    """
     use_utc(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     arrival = F.expr(b.ARRIVAL)
     first, last = events.agg(F.min(arrival), F.max(arrival)).first()
     path = work_dir(spark, "stream-events")
-    number = F.floor((arrival - F.lit(first)) * PARTS / F.lit(last - first + 1))
     for part in range(PARTS):
-        events.where(number == part).repartition(FILES).write.mode("append").parquet(path)
+        chosen = events.where(_part(arrival, first, last) == part)
+        chosen.repartition(FILES).write.mode("append").parquet(path)
+    if idle:
+        events.limit(0).write.mode("append").parquet(path)
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(path)
     return b.as_ticks(with_utc(stream)).withColumn("source", F.lit("feed"))
 
@@ -78,6 +89,23 @@ def exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_exact_bars(spark, f"{folder}/out", flush_batch=last)
 
 
+def clock_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute bars closed by a later tick or by the clock, which shows the newest time seen so far.
+
+    The last micro-batch has no ticks; its clock stands two minutes later and closes every bar.
+    """
+    ticks = b.ticks(spark, sf_dir)
+    first, last = ticks.agg(F.min("seq"), F.max("seq")).first()
+    ends = ticks.groupBy(_part(F.col("seq"), first, last).alias("part")).agg(F.max("ts").alias("ts"))
+    newest = [r.ts for r in ends.orderBy("part").collect()]
+    times = [max(newest[: k + 1]) for k in range(len(newest))] + [max(newest) + timedelta(minutes=2)]
+    folder = work_dir(spark, "stream-clock")
+    writer = ExactBarWriter(f"{folder}/out", clock=lambda batch: times[batch])
+    last_batch = _run_batches(_tick_stream(spark, sf_dir, idle=True), folder, writer)
+    writer.compact(spark, last_batch - 1)
+    return read_exact_bars(spark, f"{folder}/out")
+
+
 def stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute bars closed by a later tick; the newest bar of a symbol stays open."""
     found = _run_to_table(stream_bars_stateful(_tick_stream(spark, sf_dir)), "stream-stateful")
@@ -117,6 +145,7 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "stream_bars": watermarked,
     "stream_bars_exact": exact,
+    "stream_clock_close": clock_close,
     "stream_bars_stateful": stateful,
     "stream_late_ticks": stateful_late,
     "stream_retention": retention,
@@ -136,6 +165,26 @@ SQL = {
         select=f""", lates AS (
   SELECT symbol, bar_start, count(*) AS late_ticks FROM flagged WHERE is_late GROUP BY ALL)
 SELECT {_COLUMNS}, coalesce(late_ticks, 0) AS late_ticks
+FROM bars LEFT JOIN lates USING (symbol, bar_start)""",
+    ),
+    "stream_clock_close": _with(
+        _TICKS + f""",
+floored AS (
+  SELECT *, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS bar_start,
+         floor((seq - min(seq) OVER ()) * {PARTS} / (max(seq) OVER () - min(seq) OVER () + 1)) AS part FROM ticks),
+times AS (SELECT part, max(max(ts)) OVER (ORDER BY part) AS now FROM floored GROUP BY part),
+newest AS (
+  SELECT symbol, t.part, now, max(bar_start) AS bar_start FROM floored f JOIN times t ON f.part <= t.part GROUP BY ALL),
+closed AS (SELECT symbol, part + 1 AS part, bar_start FROM newest WHERE bar_start + INTERVAL 1 MINUTE <= now),
+flagged AS (
+  SELECT f.*, coalesce(f.bar_start < max(f.bar_start) OVER (
+    PARTITION BY f.symbol ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false)
+    OR c.symbol IS NOT NULL AS is_late
+  FROM floored f LEFT JOIN closed c ON c.symbol = f.symbol AND c.part = f.part AND c.bar_start = f.bar_start)"""
+        + b.bars_sql(),
+        select=f""", lates AS (
+  SELECT symbol, bar_start, count(*) AS late_ticks FROM flagged WHERE is_late GROUP BY ALL)
+SELECT {_COLUMNS}, coalesce(late_ticks, 0) AS late_ticks
 FROM bars LEFT JOIN lates USING (symbol, bar_start)""",
     ),
     "stream_bars_stateful": _with(
