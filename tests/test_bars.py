@@ -1,9 +1,12 @@
 from datetime import datetime, timedelta
 
+import time
+
 import numpy as np
 import pytest
 
 from tidemark.functions import from_fixed, to_fixed
+from tidemark.operators import ordinals, quality
 from tidemark.operators.bars import (
     backfill_bars,
     bar_gaps,
@@ -245,3 +248,74 @@ def test_rolling_rank(spark, monkeypatch):
     df = spark.createDataFrame([(i, "k", v) for i, v in enumerate(values)], "seq long, k string, v double")
     found = rolling_rank(df, "v", ["k"], "seq", size=25).orderBy("seq").collect()
     assert [r.rolling for r in found] == [p95(values[max(0, i - 24) : i + 1]) for i in range(300)]
+
+
+def test_nearest_rank_of_any_scale(spark):
+    """Values in [0, 1] and over twelve decades, with and without keys, at most a few rows put in order."""
+    rng = np.random.default_rng(5)
+    unit = rng.random(3000)
+    wide = 10 ** rng.uniform(-6, 6, 3000) * rng.choice([-1, 1, 1], 3000)
+    same = np.repeat([0.25, 0.5], 1500)
+    rows = [(k, float(v)) for k, own in (("unit", unit), ("wide", wide), ("same", same)) for v in own]
+    df = spark.createDataFrame([*rows, ("unit", None)], "k string, v double").repartition(5)
+    found = {r.k: (r.n, r.v) for r in nearest_rank(df, "v", ["k"], cell_rows=20).collect()}
+    assert found == {k: (3000, p95([v for own, v in rows if own == k])) for k in ("unit", "wide", "same")}
+    whole = nearest_rank(df, "v", cell_rows=20).first()
+    assert (whole.n, whole.v) == (9000, p95([v for _, v in rows]))
+    counts = df.where("v is not null").groupBy("k", df.v.alias("_value")).count().withColumnRenamed("count", "_n")
+    near = quality._near_rank(counts, ["k"], "cast(bround((n - 1) * 0.95D) as bigint)", 20)
+    assert near.groupBy("k").count().agg({"count": "max"}).first()[0] <= 20
+
+
+def test_rolling_rank_with_missing_values_and_blocks(spark):
+    rng = np.random.default_rng(7)
+    values = [None if rng.random() < 0.2 else float(rng.integers(0, 50)) for _ in range(500)]
+    rows = [(i // 3, i % 3, "k", v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "seq long, pos int, k string, v double").repartition(4)
+    found = rolling_rank(df, "v", ["k"], ["seq", "pos"], size=7).orderBy("seq", "pos").collect()
+    for i, r in enumerate(found):
+        frame = [v for v in values[max(0, i - 6) : i + 1] if v is not None]
+        assert r.rolling == (p95(frame) if frame else None)
+
+
+def test_order_statistics_cost_little_more_with_a_longer_window(spark):
+    df = spark.range(60_000).selectExpr("id as seq", "'k' as k", "cast(hash(id) as double) as v")
+    seconds = []
+    for size in (600, 600, 6000):
+        start = time.perf_counter()
+        rolling_rank(df, "v", ["k"], "seq", size=size).write.format("noop").mode("overwrite").save()
+        seconds.append(time.perf_counter() - start)
+    assert seconds[2] < 3 * seconds[1] + 2
+
+
+def test_epoch_arrival_of_one_hot_symbol_is_cut_evenly(spark):
+    """Arrival numbers in microseconds, in bursts: cells are as large as the data makes them."""
+    rng = np.random.default_rng(11)
+    burst = np.repeat(np.arange(40) * 3_600_000_000, 100) + np.tile(np.arange(100), 40)
+    seq = 1_775_383_201_250_000 + burst
+    seconds = np.arange(4000) * 3 + rng.integers(-90, 90, 4000) + 100
+    rows = [(int(seq[i]), "hot" if rng.random() < 0.95 else "cold", 1.0, 1.0, at(int(seconds[i])), "f") for i in range(4000)]
+    ticks = spark.createDataFrame(rows, TICK).repartition(6)
+    plain = {r.seq: r.is_late for r in flag_late(ticks).collect()}
+    cut = {r.seq: r.is_late for r in flag_late(ticks, cell_rows=250).collect()}
+    assert cut == plain and any(plain.values())
+    cells = ordinals.in_cells(ticks, ["source", "symbol"], ["seq"], 250)
+    assert cells.groupBy("_cell").count().agg({"count": "max"}).first()[0] <= 750
+    numbered = ordinals.number_rows(ticks, ["symbol"], "seq", cell_rows=250).orderBy("symbol", "seq").collect()
+    assert [r.ord for r in numbered if r.symbol == "hot"] == list(range(sum(r[1] == "hot" for r in rows)))
+
+
+def test_bars_by_message_and_position(spark):
+    rows = [(1, 0, "A", 5.0, 1.0, at(1), "f"), (1, 1, "A", 7.0, 1.0, at(2), "f"), (0, 9, "A", 6.0, 1.0, at(3), "f")]
+    ticks = spark.createDataFrame(rows, "seq long, pos int, symbol string, price double, size double, ts timestamp, source string")
+    bar = bars(ticks, floats=True, order=("seq", "pos")).first()
+    assert (bar.open, bar.close, bar.seq, bar.pos) == (6.0, 7.0, 1, 1)
+
+
+def test_equal_feeds_win_in_the_listed_order(spark):
+    ticks = spark.createDataFrame([(i, "AAPL", 1.0, 1.0, at(i), s) for i in range(3) for s in ("a", "z")], TICK)
+    none = spark.createDataFrame([], "source string, kind string, seq long")
+    scores = feed_scores(ticks, none, ["AAPL"], feeds=["z", "a"], seconds=30)
+    assert feed_winner(scores, ["z", "a"]).first().source == "z"
+    assert feed_winner(scores).first().source == "a"
+    assert {(r.seconds_requested, r.seconds_observed) for r in scores.collect()} == {(30.0, 2.0)}

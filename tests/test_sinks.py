@@ -7,7 +7,7 @@ import pytest
 from panels import long_frame, panel_of, prices, to_wide
 from test_bars import at, minute_bars
 
-from tidemark.operators.quality import store_freshness
+from tidemark.operators.quality import store_freshness, stored_freshness
 from tidemark.plans import build_panel, live_snapshot
 from tidemark.session import work_dir
 from tidemark.sinks import (
@@ -22,6 +22,7 @@ from tidemark.sinks import (
     write_run,
 )
 from tidemark.sources import read_bar_store, read_price_panel, read_run_history
+from tidemark.sources.files import read_newest_hour, store_hours
 
 
 def test_persist_merges_and_dedupes(spark, tmp_path):
@@ -201,3 +202,26 @@ def test_store_keeps_the_bars_of_each_source(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "store")).count() == 2
     wide = spark.createDataFrame([(1e12,), (1e17,), (-2.345,)], "x double")
     assert [r[0] for r in wide.select(to_fixed(wide.x, 100)).collect()] == [10**14, None, -235]
+
+
+def test_only_the_folders_asked_for_are_opened(spark, tmp_path):
+    path = str(tmp_path / "store")
+    persist_bars(minute_bars(spark, range(0, 200)), path)
+    assert store_hours(spark, path) == [("2026-04-05", h) for h in (10, 11, 12, 13)]
+    newest = read_newest_hour(spark, path)
+    assert {Path(f).parent.name for f in newest.inputFiles()} == {"hour=13"}
+    ranged = read_bar_store(spark, path, start=at(3600), end=at(7199))
+    assert {Path(f).parent.name for f in ranged.inputFiles()} == {"hour=11"}
+    fresh = stored_freshness(spark, path, at(201 * 60)).first()
+    assert fresh.ok and fresh.latest == at(200 * 60)
+    # files that nobody asks for may be broken, one that is read may not
+    for hour in (10, 13):
+        (tmp_path / "store" / "date=2026-04-05" / f"hour={hour}" / "broken.parquet").write_bytes(b"no parquet")
+    assert read_bar_store(spark, path, start=at(3600), end=at(7199)).count() == 60
+    with pytest.raises(Exception):
+        stored_freshness(spark, path, at(0)).first()
+    persist_bars(minute_bars(spark, range(100, 110)), path)
+    with pytest.raises(Exception):
+        persist_bars(minute_bars(spark, range(195, 199)), path)
+    empty = stored_freshness(spark, str(tmp_path / "none"), at(0)).first()
+    assert (empty.ok, empty.note) == (False, "store is empty")

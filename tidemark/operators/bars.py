@@ -1,7 +1,8 @@
 """OHLCV bars from ticks, late ticks, retention, gaps and backfill.
 
-Ticks carry ``seq``, a unique arrival number. It orders everything that the
-order of arrival decides: open, close and lateness.
+Ticks carry ``seq``, a unique arrival number, or several columns that are unique
+together. They order everything that the order of arrival decides: open, close
+and lateness.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import bar_volume, to_fixed, truncated_volume, width_floor
 from tidemark.functions.prices import SCALE
-from tidemark.operators.ordinals import BEFORE
+from tidemark.operators.ordinals import BEFORE, CELL_ROWS, running_max
 from tidemark.panel import Panel, densify, ordered_unique
 
-SEQ_CELL = 1 << 20
+def _placed(order: Sequence[str]):
+    """The order of arrival as one value."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
 def flag_late(
@@ -24,39 +27,27 @@ def flag_late(
     width: str = "1 minute",
     *,
     keys: Sequence[str] = ("source", "symbol"),
-    cell_rows: int = SEQ_CELL,
+    order: Sequence[str] = ("seq",),
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Add ``bar_start`` and ``is_late``: the tick's bar closed before it arrived.
 
     A tick is late when an earlier arrival of its symbol, from the same source,
-    opened a later bar.
-    That is a running maximum over the arrival order. Each run of ``cell_rows``
-    arrival numbers reports its maximum, these are scanned per symbol, and the
-    ticks compare inside their run, so no task holds a whole symbol.
+    opened a later bar. That is a running maximum over the arrival order, which
+    may be numbers of any kind (counters, epochs) in one column or several.
     """
-    names = ", ".join(keys)
-    placed = ticks.withColumn("bar_start", width_floor(F.col("ts"), width)).withColumn(
-        "_cell", F.expr(f"seq div {cell_rows}")
-    )
-    peaks = placed.groupBy(*keys, "_cell").agg(F.max("bar_start").alias("_peak"))
-    carried = peaks.selectExpr(
-        *keys,
-        "_cell",
-        f"max(_peak) over (partition by {names} order by _cell {BEFORE}) as _carry",
-    )
-    inside = f"max(bar_start) over (partition by {names}, _cell order by seq {BEFORE})"
+    placed = ticks.withColumn("bar_start", width_floor(F.col("ts"), width))
     return (
-        placed.join(carried, [*keys, "_cell"])
-        .withColumn("_open", F.greatest(F.expr(inside), "_carry"))
+        running_max(placed, keys, order, "bar_start", "_open", cell_rows)
         .withColumn("is_late", F.expr("coalesce(bar_start < _open, false)"))
-        .drop("_cell", "_carry", "_open")
+        .drop("_open")
     )
 
 
-def late_ticks(ticks: DataFrame, width: str = "1 minute") -> DataFrame:
+def late_ticks(ticks: DataFrame, width: str = "1 minute", *, order: Sequence[str] = ("seq",)) -> DataFrame:
     """(source, symbol, ticks, late_ticks)."""
     return (
-        flag_late(ticks, width)
+        flag_late(ticks, width, order=order)
         .groupBy("source", "symbol")
         .agg(
             F.count(F.lit(1)).alias("ticks"),
@@ -72,25 +63,27 @@ def bars(
     drop_late: bool = True,
     scale: int = SCALE,
     floats: bool = False,
+    order: Sequence[str] = ("seq",),
 ) -> DataFrame:
     """One OHLCV bar per symbol, source and window, prices as scaled bigints.
 
-    Open and close follow the arrival order; the volume is the rounded sum of
-    sizes. ``floats`` adds open, high, low and close as doubles. Partial bars
+    Open and close follow the arrival order, of which the last tick's is kept in the
+    same columns; the volume is the rounded sum of sizes. ``floats`` adds open, high, low and close as doubles. Partial bars
     are formed before the shuffle, so a busy symbol costs one row per bar and task.
     """
     if drop_late:
-        kept = flag_late(ticks, width).where("not is_late")
+        kept = flag_late(ticks, width, order=order).where("not is_late")
     else:
         kept = ticks.withColumn("bar_start", width_floor(F.col("ts"), width))
     built = kept.groupBy("symbol", "source", "bar_start").agg(
-        F.min_by("price", "seq").alias("open"),
+        F.min_by("price", _placed(order)).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
-        F.max_by("price", "seq").alias("close"),
+        F.max_by("price", _placed(order)).alias("close"),
         F.sum("size").alias("size"),
-        F.max("seq").alias("seq"),
+        F.max(_placed(order)).alias("_last"),
     )
+    last = [F.col("_last").alias(order[0])] if len(order) == 1 else [F.col(f"_last.{c}").alias(c) for c in order]
     fixed = [to_fixed(F.col(c), scale).alias(f"{c}_fixed") for c in ("open", "high", "low", "close")]
     return built.select(
         "symbol",
@@ -100,7 +93,7 @@ def bars(
         *(["open", "high", "low", "close"] if floats else []),
         bar_volume(F.col("size")).alias("volume"),
         "source",
-        "seq",
+        *last,
     )
 
 

@@ -9,11 +9,19 @@ offsets, and rows are numbered inside their cell.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import work_dir
+
 TARGET_CELLS = 1 << 18
 
+#: Rows that one task puts in order, and the most tasks that rows are cut for.
+CELL_ROWS = 1 << 20
+MOST_CELLS = 100_000
+
 BEFORE = "rows between unbounded preceding and 1 preceding"
 
 
@@ -45,26 +53,76 @@ def store_in_order(rows: DataFrame, path: str, order: str) -> DataFrame:
     )
 
 
-def number_rows(df: DataFrame, keys: list[str], order: str, cell_rows: int = 1 << 20) -> DataFrame:
+def in_cells(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cell_rows: int = CELL_ROWS
+) -> DataFrame | None:
+    """The rows with ``_cell`` and ``_at``, cut along (keys, order) into runs of about ``cell_rows``.
+
+    None if all rows fit one cell. The cuts come from the data: rows are range partitioned and
+    written sorted, and a cell is what one task wrote, so it is bounded whatever the numbers in
+    ``order`` look like and however many rows one key holds. ``_at`` numbers the rows of a cell.
+    """
+    rows = df.count()
+    if rows <= cell_rows:
+        return None
+    path = work_dir(df.sparkSession, "cells")
+    (
+        df.repartitionByRange(min(-(-rows // cell_rows), MOST_CELLS), *keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn("_at", F.monotonically_increasing_id())
+        .write.parquet(path)
+    )
+    schema = df.withColumn("_at", F.lit(0).cast("bigint")).schema
+    kept = df.sparkSession.read.schema(schema).parquet(path)
+    return kept.withColumns({"_cell": F.expr("shiftright(_at, 33)"), "_at": F.expr("_at & 8589934591L")})
+
+
+def running_max(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, cell_rows: int = CELL_ROWS
+) -> DataFrame:
+    """Add ``name``: the largest ``value`` of the rows of a key before a row; NULL for its first.
+
+    With many rows, cells report their maximum, these are scanned per key, and rows look back
+    inside their cell only, so no task holds a key.
+    """
+    names = ", ".join(keys)
+    cells = in_cells(df, keys, order, cell_rows)
+    if cells is None:
+        return df.withColumn(name, F.expr(f"max({value}) over (partition by {names} order by {', '.join(order)} {BEFORE})"))
+    peaks = cells.groupBy(*keys, "_cell").agg(F.max(value).alias("_peak"))
+    carried = peaks.selectExpr(
+        *keys, "_cell", f"max(_peak) over (partition by {names} order by _cell {BEFORE}) as _carry"
+    )
+    inside = f"max({value}) over (partition by {names}, _cell order by _at {BEFORE})"
+    both = cells.join(carried, [*keys, "_cell"])
+    return both.withColumn(name, F.greatest(F.expr(inside), "_carry")).drop("_cell", "_at", "_carry")
+
+
+def number_rows(
+    df: DataFrame, keys: Sequence[str], order: str | Sequence[str], cell_rows: int = CELL_ROWS
+) -> DataFrame:
     """Add ``ord``: the rank of a row from 0 inside its key.
 
-    ``order`` is a unique bigint (an arrival number). A cell covers
-    ``cell_rows`` consecutive values, so it holds at most that many rows even
-    when one key owns most of the data.
+    ``order`` is one column or several that are unique within the key. A row's rank is its
+    place in its cell plus the rows of its key in earlier cells.
     """
+    order = [order] if isinstance(order, str) else list(order)
     names = ", ".join(keys)
-    cells = df.withColumn("_cell", F.expr(f"{order} div {cell_rows}"))
-    counts = cells.groupBy(*keys, "_cell").agg(F.expr("count(1) as _n"))
+    cells = in_cells(df, keys, order, cell_rows)
+    if cells is None:
+        rank = f"row_number() over (partition by {names} order by {', '.join(order)})"
+        return df.withColumn("ord", F.expr(f"cast({rank} - 1 as bigint)"))
+    counts = cells.groupBy(*keys, "_cell").agg(F.expr("count(1) as _n"), F.min("_at").alias("_first"))
     offsets = counts.selectExpr(
         *keys,
         "_cell",
+        "_first",
         f"coalesce(sum(_n) over (partition by {names} order by _cell {BEFORE}), 0L) as _offset",
     )
-    rank = f"row_number() over (partition by {names}, _cell order by {order})"
     return (
         cells.join(offsets, [*keys, "_cell"])
-        .withColumn("ord", F.expr(f"_offset + {rank} - 1"))
-        .drop("_cell", "_offset")
+        .withColumn("ord", F.expr("_offset + _at - _first"))
+        .drop("_cell", "_at", "_first", "_offset")
     )
 
 

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions import lag_ms
 from tidemark.operators.bars import flag_late
-from tidemark.operators.ordinals import BEFORE, number_rows, with_halo
+from tidemark.operators.ordinals import BEFORE, CELL_ROWS, number_rows, with_halo
 from tidemark.panel import ordered_unique
+from tidemark.session import work_dir
+from tidemark.sources.files import read_newest_hour
 
 # The kinds of feed errors and the status each one gives.
 ERROR_KINDS = ("heartbeat_timeout", "protocol_error", "provider_error", "unexpected_error")
@@ -24,9 +30,13 @@ def feed_scores(
     *,
     feeds: Sequence[str] = (),
     width: str = "1 minute",
+    seconds: float | None = None,
 ) -> DataFrame:
     """One row per feed: ticks, bars, symbol coverage, late ticks and errors.
 
+    ``seconds`` adds the seconds that a feed was to be observed, and those from its
+    first to its last tick.
+
     ticks (seq, symbol, ts, source), errors (source, kind, seq). Bars are the
     distinct windows of ticks that were in time. Counts are taken per source,
     symbol and bar first, so a busy feed is spread over its bars. ``feeds``
@@ -36,14 +46,22 @@ def feed_scores(
     by_bar = (
         flag_late(ticks.where(F.col("symbol").isin(list(names))), width)
         .groupBy("source", "symbol", "bar_start")
-        .agg(F.count(F.lit(1)).alias("_ticks"), F.expr("count_if(is_late)").alias("_late"))
+        .agg(
+            F.count(F.lit(1)).alias("_ticks"),
+            F.expr("count_if(is_late)").alias("_late"),
+            F.min("ts").alias("_first"),
+            F.max("ts").alias("_last"),
+        )
     )
     by_symbol = by_bar.groupBy("source", "symbol").agg(
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
         F.sum("_ticks").alias("_ticks"),
         F.sum("_late").alias("_late"),
         F.expr("count_if(_ticks > _late)").alias("_bars"),
     )
     seen = by_symbol.groupBy("source").agg(
+        ((F.unix_micros(F.max("_last")) - F.unix_micros(F.min("_first"))) / F.lit(1e6)).alias("_observed"),
         F.sum("_ticks").alias("ticks_received"),
         F.sum("_bars").alias("bars_emitted"),
         F.count(F.lit(1)).alias("symbols_seen"),
@@ -75,7 +93,9 @@ def feed_scores(
         "source",
         F.when(silent, F.lit(SKIPPED)).otherwise(F.coalesce("_status", F.lit("ok"))).alias("status"),
         *[F.coalesce(F.col(c), zero).alias(c) for c in counts],
+        F.coalesce("_observed", F.lit(0.0)).alias("_observed"),
     )
+    timed = [] if seconds is None else [F.lit(float(seconds)).alias("seconds_requested"), F.col("_observed").alias("seconds_observed")]
     return filled.select(
         "source",
         "status",
@@ -90,11 +110,16 @@ def feed_scores(
         "heartbeat_timeouts",
         "protocol_errors",
         "unexpected_errors",
+        *timed,
     )
 
 
-def feed_winner(scores: DataFrame) -> DataFrame:
-    """(source): the best feed that was not skipped; no row if there is none."""
+def feed_winner(scores: DataFrame, feeds: Sequence[str] = ()) -> DataFrame:
+    """(source): the best feed that was not skipped; no row if there is none.
+
+    Of equal feeds the one listed first in ``feeds`` wins; unlisted ones follow by name.
+    """
+    listed = F.array_position(F.array(*[F.lit(f) for f in feeds]).cast("array<string>"), F.col("source"))
     return (
         scores.where(F.col("status") != SKIPPED)
         .orderBy(
@@ -103,6 +128,7 @@ def feed_winner(scores: DataFrame) -> DataFrame:
             F.col("ticks_received").desc(),
             F.col("bars_emitted").desc(),
             F.col("late_ticks_dropped").asc(),
+            F.when(listed > 0, listed).asc_nulls_last(),
             F.col("source").asc(),
         )
         .limit(1)
@@ -162,6 +188,19 @@ def store_freshness(
     )
 
 
+def stored_freshness(
+    spark: SparkSession, path: str, reference=None, *, max_gap_s: float = 120.0, reason: str = ""
+) -> DataFrame:
+    """``store_freshness`` of a bar store on disk; only its newest folder is opened.
+
+    A store that is not there or has no folders is not fresh.
+    """
+    newest = read_newest_hour(spark, path)
+    if newest is None:
+        newest = spark.createDataFrame([], "bar_end timestamp")
+    return store_freshness(newest, reference, max_gap_s=max_gap_s, reason=reason)
+
+
 def latency_alerts(writes: DataFrame, threshold_ms: float = 100.0) -> DataFrame:
     """Event rows for the bar writes slower than the threshold.
 
@@ -221,81 +260,124 @@ def write_counters(writes: DataFrame, events: DataFrame, *, size: int = 600) ->
     )
 
 
+#: Buckets that a pass cuts the values around the wanted rank into.
+BUCKETS = 4096
+
+
 def nearest_rank(
     df: DataFrame,
     value: str,
     keys: Sequence[str] = (),
     *,
     q: float = 0.95,
-    cell_width: float = 1.0,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """(keys, n, value): the exact value at sorted position round((n-1)*q), half to even.
 
-    Equal values are counted before the shuffle. Counts per cell of
-    ``cell_width`` locate the cell of the wanted rank, and only the values of
-    that cell are put in order; a key's values are never sorted as a whole.
+    Equal values are counted before the shuffle. Of many values, passes of a histogram
+    narrow down where the wanted rank lies, for each key between the smallest and the
+    largest value that are left, until at most ``cell_rows`` of them have to be put in
+    order. So nothing depends on the scale of the values. NULL values do not count.
     """
     by = list(keys) or ["_all"]
-    rows = df if keys else df.withColumn("_all", F.lit(0))
+    rows = (df if keys else df.withColumn("_all", F.lit(0))).where(F.col(value).isNotNull())
     names = ", ".join(by)
-    counts = (
-        rows.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_cell", F.floor(F.col("_value") / F.lit(float(cell_width))))
-    )
-    cells = counts.groupBy(*by, "_cell").agg(F.sum("_n").alias("_n"))
-    located = (
-        cells.selectExpr(
-            *by,
-            "_cell",
-            "_n",
-            f"sum(_n) over (partition by {names}) as n",
-            f"coalesce(sum(_n) over (partition by {names} order by _cell {BEFORE}), 0L) as _before",
-        )
-        .withColumn("_rank", F.expr(f"cast(bround((n - 1) * {float(q)!r}D) as bigint)"))
-        .where("_before <= _rank and _rank < _before + _n")
-        .select(*by, "_cell", "n", "_before", "_rank")
-    )
+    rank = f"cast(bround((n - 1) * {float(q)!r}D) as bigint)"
+    counts = rows.groupBy(*by, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    if rows.count() <= cell_rows:
+        every = f"sum(_n) over (partition by {names})"
+        near = counts.selectExpr(*by, "_value", "_n", f"{every} as n", "0L as _before")
+        near = near.withColumn("_rank", F.expr(rank))
+    else:
+        near = _near_rank(counts, by, rank, cell_rows)
     inside = f"coalesce(sum(_n) over (partition by {names} order by _value {BEFORE}), 0L)"
     return (
-        counts.join(located, [*by, "_cell"])
-        .withColumn("_at", F.expr(f"_before + {inside}"))
+        near.withColumn("_at", F.expr(f"_before + {inside}"))
         .where("_at <= _rank and _rank < _at + _n")
         .select(*keys, "n", F.col("_value").alias(value))
     )
 
 
+def _near_rank(counts: DataFrame, by: list[str], rank: str, cell_rows: int) -> DataFrame:
+    """The counted values of each key around its rank, with ``n``, ``_before`` and ``_rank``."""
+    spark, names = counts.sparkSession, ", ".join(by)
+
+    def kept(frame: DataFrame, label: str) -> DataFrame:
+        path = work_dir(spark, label)
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    counts = kept(counts, "rank-counts")
+    whole = counts.groupBy(*by).agg(
+        F.min("_value").alias("_lo"),
+        F.max("_value").alias("_hi"),
+        F.sum("_n").alias("n"),
+        F.count(F.lit(1)).alias("_values"),
+    )
+    bounds = kept(whole.withColumns({"_before": F.lit(0).cast("bigint"), "_rank": F.expr(rank)}), "rank-bounds")
+    left, idle, turn = None, 0, 0
+    while idle < 2:
+        most, now = bounds.agg(F.max("_values"), F.sum("_values")).first()
+        if most is None or most <= cell_rows:
+            break
+        idle, left = (idle + 1 if now == left else 0), now
+        x, lo, hi = (F.col(c).cast("double") / 2 for c in ("_value", "_lo", "_hi"))
+        share = (x - lo) / (hi - lo)
+        if turn % 2:  # in turn evenly, and by distance from the smallest value over twelve decades
+            share = F.log1p(share * 1e12) / F.log1p(F.lit(1e12))
+        bucket = F.when(hi > lo, F.least(F.lit(BUCKETS - 1), F.floor(share * BUCKETS))).otherwise(0)
+        bucket = F.when(F.col("_values") <= cell_rows, 0).otherwise(bucket)
+        inside = counts.join(bounds, by).where("_value between _lo and _hi")
+        cells = inside.groupBy(*by, "n", "_before", "_rank", bucket.alias("_bucket")).agg(
+            F.min("_value").alias("_lo"),
+            F.max("_value").alias("_hi"),
+            F.sum("_n").alias("_n"),
+            F.count(F.lit(1)).alias("_values"),
+        )
+        ahead = f"coalesce(sum(_n) over (partition by {names} order by _bucket {BEFORE}), 0L)"
+        located = cells.withColumn("_before", F.expr(f"_before + {ahead}"))
+        located = located.where("_before <= _rank and _rank < _before + _n")
+        bounds = kept(located.select(*by, "_lo", "_hi", "n", "_values", "_before", "_rank"), "rank-bounds")
+        turn += 1
+    near = counts.join(bounds, by).where("_value between _lo and _hi")
+    return near.select(*by, "_value", "_n", "n", "_before", "_rank")
+
+
 def rolling_rank(
     df: DataFrame,
     value: str,
     keys: Sequence[str],
-    order: str,
+    order: str | Sequence[str],
     *,
     size: int = 600,
     q: float = 0.95,
 ) -> DataFrame:
     """Add ``rolling``: the nearest-rank quantile of the last ``size`` values of a key.
 
-    Rows are numbered per key, cut into blocks with ``size - 1`` rows repeated
-    in front, and each frame is an array of at most ``size`` values.
+    Rows are numbered per key and cut into blocks with ``size - 1`` rows repeated in front. A block
+    keeps its frame in order: each row puts one value in and takes one out. A NULL value takes a
+    place in the frame but is not counted.
     """
     if size < 1:
         raise ValueError("size must be >= 1")
-    reach = size - 1
-    names = ", ".join(keys)
-    spread = with_halo(number_rows(df, list(keys), order), max(8 * size, 1 << 12), reach)
-    # few bytes but much sorting: a given number of partitions is not merged at run time
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = spread.repartition(tasks, *keys, "block")
-    frame = (
-        f"collect_list({value}) over (partition by {names}, block order by ord"
-        f" rows between {reach} preceding and current row)"
-    )
-    picked = f"_frame[cast(bround((size(_frame) - 1) * {float(q)!r}D) as int)]"
-    return (
-        spread.withColumn("_frame", F.expr(f"sort_array({frame})"))
-        .where("block = own")
-        .withColumn("rolling", F.expr(f"if(size(_frame) > 0, {picked}, null)"))
-        .drop("_frame", "own", "block", "ord")
-    )
+    spread = with_halo(number_rows(df, list(keys), order), max(8 * size, 1 << 15), size - 1)
+    names = df.columns
+
+    def roll(block: pa.Table) -> pa.Table:
+        block = block.sort_by("ord")
+        values = block.column(value).to_pylist()
+        frame: list = []
+        found: list = []
+        for i, x in enumerate(values):
+            if x is not None:
+                insort(frame, x)
+            if i >= size and values[i - size] is not None:
+                del frame[bisect_left(frame, values[i - size])]
+            found.append(frame[round((len(frame) - 1) * q)] if frame else None)
+        done = block.append_column("rolling", pa.array(found, block.schema.field(value).type))
+        own = pa.compute.equal(done.column("block"), done.column("own"))
+        return done.filter(own).select([*names, "rolling"])
+
+    kind = df.schema[value].dataType
+    schema = StructType([*df.schema.fields, StructField("rolling", kind)])
+    return spread.groupBy(*keys, "block").applyInArrow(roll, schema)

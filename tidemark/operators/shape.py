@@ -106,3 +106,12 @@ def report_stamps(panel: Panel, pattern: str = "yyyy-MM-dd") -> list[str]:
     if len(found) > most:
         raise ValueError(f"more than {most} timestamps; write the tidy form instead")
     return [row.label for row in found]
+
+
+def ordered_distinct(df: DataFrame, column: str, order: str) -> DataFrame:
+    """(column, pos): the distinct values, each at the place where it comes first.
+
+    Values are reduced before the shuffle, so a frequent one costs a row per task. NULL
+    is a value like others.
+    """
+    return df.groupBy(column).agg(F.min(order).alias("pos"))

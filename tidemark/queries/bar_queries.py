@@ -11,6 +11,7 @@ from tidemark.operators.bars import (
     bar_gaps,
     bars,
     close_panel,
+    flag_late,
     hourly_counts,
     late_ticks,
     merge_backfill,
@@ -18,7 +19,8 @@ from tidemark.operators.bars import (
     retain_newest,
     retain_per_symbol,
 )
-from tidemark.operators.quality import store_freshness
+from tidemark.operators.quality import store_freshness, stored_freshness
+from tidemark.operators.shape import ordered_distinct
 from tidemark.queries import bindings as b
 from tidemark.queries.panel_queries import _with
 from tidemark.schemas import BAR
@@ -124,6 +126,42 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def freshness_of_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same against a partitioned store, all symbols in turn: the store holds the symbol's bars."""
+    hourly = _hourly(spark, sf_dir).where(f"bar_end > timestamp'{OUTAGE}'")
+    path = work_dir(spark, "fresh-store")
+    persist_bars(hourly.where("symbol = 'click'"), path)
+    reference = hourly.agg(F.max("bar_end")).scalar()
+    return stored_freshness(spark, path, reference, max_gap_s=7200).select("ok", "latest", "gap_seconds", "note")
+
+
+def backfill_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six-hour bars of a partitioned store that ended after the outage; earlier folders are not opened."""
+    path = work_dir(spark, "backfill-store")
+    persist_bars(bars(b.one_feed(spark, sf_dir), "6 hours"), path)
+    store = read_bar_store(spark, path, start=OUTAGE, end=NOW)
+    return backfill_bars(store, b.KINDS, _at(OUTAGE), _at(NOW)).select(
+        "symbol", "bar_start", "bar_end", "open_fixed", "volume", "source"
+    )
+
+
+def late_by_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late ticks where arrival is a message time in microseconds and a position, in small cells."""
+    arrival = b.ticks(spark, sf_dir).withColumns(
+        {"message": F.expr("1700000000000000 + (seq div 8) * 1000003"), "pos": F.expr("seq % 8")}
+    )
+    flagged = flag_late(arrival.drop("seq"), order=("message", "pos"), cell_rows=2_000)
+    return flagged.groupBy("source", "symbol").agg(
+        F.count(F.lit(1)).alias("ticks"), F.count_if("is_late").alias("late_ticks")
+    )
+
+
+def first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The symbols in the order of their first tick."""
+    found = ordered_distinct(b.ticks(spark, sf_dir), "symbol", "seq")
+    return found.select("symbol", F.col("pos").alias("first_seq"))
+
+
 def _backfill(minute: DataFrame) -> DataFrame:
     return backfill_bars(minute, b.KINDS, _at(OUTAGE), _at(NOW))
 
@@ -194,6 +232,8 @@ QUERIES = {
     "ohlcv_bars": ohlcv,
     "ohlcv_bars_all_ticks": ohlcv_all_ticks,
     "late_ticks": late,
+    "late_ticks_by_message": late_by_message,
+    "ordered_dedup": first_seen,
     "bars_fixed_point": fixed_point,
     "close_panel": closes,
     "retention_60": newest_60,
@@ -205,6 +245,8 @@ QUERIES = {
     "text_bars": text_bars,
     "text_bars_rejected": text_bars_rejected,
     "store_freshness": freshness,
+    "store_freshness_partitioned": freshness_of_store,
+    "backfill_partitioned": backfill_from_store,
     "backfill_bars": backfill,
     "backfill_mixed_store": backfill_mixed,
     "bars_as_json": json_bars,
@@ -241,6 +283,12 @@ SQL = {
         select="""SELECT source, symbol, count(*) AS ticks, count(*) FILTER (WHERE is_late) AS late_ticks
 FROM flagged GROUP BY source, symbol""",
     ),
+    "late_ticks_by_message": _with(
+        _FLAGGED,
+        select="""SELECT source, symbol, count(*) AS ticks, count(*) FILTER (WHERE is_late) AS late_ticks
+FROM flagged GROUP BY source, symbol""",
+    ),
+    "ordered_dedup": _with(b.ticks_sql(), select="SELECT symbol, min(seq) AS first_seq FROM ticks GROUP BY symbol"),
     "bars_fixed_point": """WITH fixed AS (
   SELECT l_orderkey, l_linenumber, l_partkey,
          CAST(CAST(round(CAST(CAST(l_extendedprice * (1 - l_discount) AS VARCHAR) AS DECIMAL(38,20)), 9)
@@ -291,6 +339,13 @@ FROM steps WHERE gap_start < gap_end""",
 SELECT (epoch_us(ref) - epoch_us(latest)) / 1e6 <= 120 AS ok, latest,
        (epoch_us(ref) - epoch_us(latest)) / 1e6 AS gap_seconds FROM ends""",
     ),
+    "store_freshness_partitioned": _with(
+        b.ticks_sql(one=True) + b.flagged_sql("hour") + b.bars_sql("hour"),
+        select=""", ends AS (
+  SELECT max(bar_end) FILTER (WHERE symbol = 'click') AS latest, max(bar_end) AS ref FROM bars),
+gaps AS (SELECT latest, (epoch_us(ref) - epoch_us(latest)) / 1e6 AS gap_seconds FROM ends)
+SELECT gap_seconds <= 7200 AS ok, latest, gap_seconds, 'gap_seconds=' || printf('%.1f', gap_seconds) AS note FROM gaps""",
+    ),
     "backfill_bars": _with(
         _BARS,
         select=f"SELECT {_STORED} FROM bars WHERE bar_end > TIMESTAMP '{OUTAGE}' AND bar_end <= TIMESTAMP '{NOW}'",
@@ -323,4 +378,18 @@ built AS (
   FROM flagged WHERE NOT is_late GROUP BY symbol, bar_start)
 SELECT *, strftime(bar_end, '%Y-%m-%d') AS date, CAST(hour(bar_end) AS INT) AS hour FROM built""",
     ),
+    "backfill_partitioned": _with(
+        b.ticks_sql(one=True),
+        select=""", floored AS (SELECT *, CAST(time_bucket(INTERVAL 6 HOUR, ts) AS TIMESTAMP) AS bar_start FROM ticks),
+flagged AS (
+  SELECT *, coalesce(bar_start < max(bar_start) OVER (PARTITION BY symbol ORDER BY seq
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS is_late FROM floored),
+built AS (
+  SELECT symbol, bar_start, bar_start + INTERVAL 6 HOUR AS bar_end,
+         CAST(round(arg_min(price, seq) * 100) AS BIGINT) * 10000000 AS open_fixed,
+         arg_max(price, seq) AS close, CAST(round_even(sum(size), 0) AS BIGINT) AS volume
+  FROM flagged WHERE NOT is_late GROUP BY symbol, bar_start)
+SELECT symbol, bar_start, bar_end, open_fixed, volume, 'feed:backfill' AS source FROM built
+WHERE bar_end > TIMESTAMP '{OUTAGE}' AND bar_end <= TIMESTAMP '{NOW}'""".replace("{OUTAGE}", OUTAGE).replace("{NOW}", NOW),
+    ),
 }

@@ -61,6 +61,20 @@ def winner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_winner(_scores(spark, sf_dir))
 
 
+def winner_tie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ticks under two names: the feed listed first wins."""
+    ticks = b.one_feed(spark, sf_dir)
+    both = ticks.withColumn("source", F.lit("second")).unionByName(ticks.withColumn("source", F.lit("first")))
+    none = spark.createDataFrame([], "source string, kind string, seq bigint")
+    listed = ("second", "first")
+    return feed_winner(feed_scores(both, none, b.KINDS, feeds=listed), listed)
+
+
+def seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = feed_scores(b.ticks(spark, sf_dir), _errors(spark, sf_dir), b.KINDS, feeds=("feed_2",), seconds=60)
+    return found.select("source", "seconds_requested", "seconds_observed")
+
+
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _scores(spark, sf_dir)
     made = feed_report(found, feed_winner(found), seconds=60, created_at=NOW)
@@ -72,7 +86,16 @@ def rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rank_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nearest_rank(b.table(spark, sf_dir, "lineitem"), "l_extendedprice", cell_width=100.0)
+    return nearest_rank(b.table(spark, sf_dir, "lineitem"), "l_extendedprice")
+
+
+def rank_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks of values over many decades, found by passes of a histogram."""
+    lines = b.table(spark, sf_dir, "lineitem").selectExpr(
+        "l_returnflag", "exp(l_extendedprice / 4000D) * (l_partkey + 1) as price"
+    )
+    found = nearest_rank(lines, "price", ["l_returnflag"], cell_rows=500)
+    return found.select("l_returnflag", "n", F.round(F.ln("price"), 6).alias("log_price"))
 
 
 def rolling_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,8 +246,11 @@ def run_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "feed_scores": scores,
     "feed_winner": winner,
+    "feed_winner_tie": winner_tie,
+    "feed_seconds": seconds,
     "feed_report": report,
     "p95_rank": rank,
+    "p95_rank_narrowed": rank_narrowed,
     "p95_rank_all": rank_all,
     "rolling_p95": rolling_p95,
     "ingest_counters": counters,
@@ -298,6 +324,20 @@ SQL = {
         _SCORES, select="SELECT (SELECT source FROM best) AS winner, count(*) AS feeds FROM scores"
     ),
     "p95_rank": _with(b.ticks_sql(), select=_rank_sql("ticks", "price", "symbol")),
+    "feed_winner_tie": "SELECT 'second' AS source FROM events HAVING count(*) > 0",
+    "feed_seconds": _with(
+        b.ticks_sql(),
+        select="""SELECT source, CAST(60 AS DOUBLE) AS seconds_requested,
+  CAST((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS DOUBLE) AS seconds_observed FROM ticks GROUP BY source
+UNION ALL SELECT 'feed_2', 60, 0""",
+    ),
+    "p95_rank_narrowed": """WITH v AS (
+  SELECT l_returnflag, exp(l_extendedprice / 4000) * (l_partkey + 1) AS price FROM lineitem),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY price) - 1 AS place,
+         count(*) OVER (PARTITION BY l_returnflag) AS n FROM v)
+SELECT l_returnflag, n, round(ln(price), 6) AS log_price FROM r
+WHERE place = CAST(round_even((n - 1) * CAST(0.95 AS DOUBLE), 0) AS BIGINT)""",
     "p95_rank_all": _rank_sql("lineitem", "l_extendedprice", ""),
     "rolling_p95": _with(
         b.ticks_sql(),
@@ -338,13 +378,13 @@ AND ((event_type = 'error' AND user_id % 3 = 0) OR (user_id % 3 = 2 AND value <
     "decode_array_feed": """WITH one AS (
   SELECT *, CAST(date_trunc('millisecond', ts) AS TIMESTAMP) AS t FROM events
   WHERE event_type <> 'signup' AND NOT (event_type = 'error' AND user_id % 2 = 0))
-SELECT event_id * 1048576 AS seq, event_type AS symbol, value AS price,
+SELECT event_id AS seq, 0 AS pos, event_type AS symbol, value AS price,
   CAST(json_extract_string(props, '$.k') AS DOUBLE) AS size, t AS ts, 'array_feed' AS source
 FROM one WHERE user_id % 2 = 0 UNION ALL
-SELECT event_id * 1048576 + 1, event_type, value, CAST(0 AS DOUBLE), t, 'array_feed' FROM one WHERE user_id % 2 = 1 UNION ALL
-SELECT event_id * 1048576 + 2, event_type, round(value + 1, 2), CAST(0 AS DOUBLE), t + INTERVAL 1 MILLISECOND, 'array_feed'
+SELECT event_id, 1, event_type, value, CAST(0 AS DOUBLE), t, 'array_feed' FROM one WHERE user_id % 2 = 1 UNION ALL
+SELECT event_id, 2, event_type, round(value + 1, 2), CAST(0 AS DOUBLE), t + INTERVAL 1 MILLISECOND, 'array_feed'
 FROM one WHERE user_id % 2 = 1""",
-    "decode_array_feed_errors": """SELECT event_id * 1048576 AS seq, 'array_feed' AS source, 'protocol_error' AS kind,
+    "decode_array_feed_errors": """SELECT event_id AS seq, 0 AS pos, 'array_feed' AS source, 'protocol_error' AS kind,
   'user ' || user_id AS message FROM events WHERE event_type = 'error' AND user_id % 2 = 0""",
     "epoch_units": """SELECT event_id, 's' AS unit, CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts FROM events UNION ALL
 SELECT event_id, 'ms', CAST(date_trunc('millisecond', ts) AS TIMESTAMP) FROM events UNION ALL

@@ -45,11 +45,12 @@ def _number(raw: Column) -> Column:
 def _ticks(
     events: DataFrame, universe: Iterable[str], source: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Split (seq, symbol, _price, _size, _ts, message) into ticks and rejects."""
+    """Split (seq, [pos,] symbol, _price, _size, _ts, message) into ticks and rejects."""
+    at = [c for c in ("seq", "pos") if c in events.columns]
     mine = events.where(F.col("symbol").isin(list(ordered_unique(universe))))
     readable = F.col("_price").isNotNull() & F.col("_ts").isNotNull()
     ticks = mine.where(readable).select(
-        "seq",
+        *at,
         "symbol",
         F.col("_price").alias("price"),
         F.coalesce("_size", F.lit(0.0)).alias("size"),
@@ -57,7 +58,7 @@ def _ticks(
         F.lit(source).alias("source"),
     )
     rejects = mine.where(~readable).select(
-        "seq",
+        *at,
         "symbol",
         F.when(F.col("_price").isNull(), F.lit("price")).otherwise(F.lit("time")).alias("reason"),
         "message",
@@ -106,7 +107,7 @@ def decode_object_feed(
 def _unread(broken: DataFrame) -> DataFrame:
     """Rejects for messages that cannot be parsed at all."""
     return broken.select(
-        "seq", F.lit(None).cast("string").alias("symbol"), F.lit("message").alias("reason"), "message"
+        *[c for c in ("seq", "pos") if c in broken.columns], F.lit(None).cast("string").alias("symbol"), F.lit("message").alias("reason"), "message"
     )
 
 
@@ -121,9 +122,9 @@ def decode_array_feed(
 
     Trades have ``ev = 'T'``; a fatal ``status`` event gives an error row and
     other events are skipped. A message that is null or cannot be parsed to its end
-    is one reject (reason ``message``, its ``seq`` as for a first event), without its
-    readable events. ``seq`` becomes the message number times 2^20 plus the position
-    in the message, so events stay in arrival order.
+    is one reject (reason ``message``, at position 0), without its readable events.
+    Events arrive in the order of (``seq``, ``pos``), the number of the message and the
+    position in it; pass ``order=("seq", "pos")`` to what depends on the order.
     """
     text = F.trim("message")
     single = F.when(F.startswith(text, F.lit("[")), text).otherwise(
@@ -131,7 +132,7 @@ def decode_array_feed(
     )
     read = F.from_json(single, f"array<struct<{_fields(ARRAY_FIELDS)}>>")
     every = messages.select("seq", "message", F.posexplode_outer(read).alias("_i", "e")).withColumn(
-        "seq", F.expr("seq * 1048576 + coalesce(_i, 0)")
+        "pos", F.coalesce("_i", F.lit(0))
     )
     empty = F.coalesce(F.regexp_like("message", F.lit(r"^\s*\[\s*\]\s*$")), F.lit(False))
     broken = every.where(F.col("e").isNull() & ~empty)
@@ -139,12 +140,14 @@ def decode_array_feed(
     status = F.col("e.ev") == "status"
     errors = events.where(status & F.lower("e.status").isin(*ARRAY_FATAL)).select(
         "seq",
+        "pos",
         F.lit(source).alias("source"),
         F.lit("protocol_error").alias("kind"),
         F.coalesce("e.message", F.lit("")).alias("message"),
     )
     trades = events.where(F.col("e.ev") == "T").select(
         "seq",
+        "pos",
         F.trim("e.sym").alias("symbol"),
         _number(F.col("e.p")).alias("_price"),
         _number(F.col("e.s")).alias("_size"),

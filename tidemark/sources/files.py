@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.folders import folder_names, numbered_folders
 from tidemark.functions import clean_text, parse_iso_optional
 from tidemark.panel import ordered_unique
 from tidemark.schemas import with_utc
@@ -90,34 +91,68 @@ def parse_bar_log(messages: DataFrame, universe: Iterable[str]) -> tuple[DataFra
     return good, typed.where(~readable).select(*messages.columns)
 
 
+def store_hours(spark: SparkSession, path: str, dates: Iterable[str] | None = None) -> list[tuple[str, int]]:
+    """The (date, hour) of each folder of the store, ascending, from folder names alone.
+
+    ``dates`` limits the listing to these days.
+    """
+    days = [d.removeprefix("date=") for d in folder_names(spark, path) if d.startswith("date=")]
+    if dates is not None:
+        days = sorted(set(days) & set(dates))
+    return sorted((day, hour) for day in days for hour in numbered_folders(spark, f"{path}/date={day}", "hour"))
+
+
+def read_store_hours(
+    spark: SparkSession, path: str, hours: Iterable[tuple[str, int]], *, skip_unreadable: bool = False
+) -> DataFrame | None:
+    """The bars of these hours; only their folders are opened. None without hours."""
+    folders = [f"{path}/date={day}/hour={hour}" for day, hour in hours]
+    if not folders:
+        return None
+    reader = spark.read.option("mergeSchema", True).option("basePath", path)
+    return reader.option("ignoreCorruptFiles", skip_unreadable).parquet(*folders)
+
+
 def read_bar_store(
-    spark: SparkSession, path: str, *, start=None, end=None, skip_unreadable: bool = True
+    spark: SparkSession, path: str, *, start=None, end=None, skip_unreadable: bool = False
 ) -> DataFrame:
     """The (date, hour) partitioned bar store; files may lack columns.
 
-    ``start`` and ``end`` are bar ends; they prune the folders of days and hours and
-    filter rows.
+    ``start`` and ``end`` are bar ends; folders outside are not opened, not even for the
+    schema, and rows are filtered. A file that cannot be read is an error unless
+    ``skip_unreadable``.
     """
-    day, hour = F.col("date").cast("date"), F.col("hour").cast("int")
-    reader = spark.read.option("mergeSchema", True).option(
-        "ignoreCorruptFiles", skip_unreadable
-    )
-    store = reader.parquet(path)
+    if start is None and end is None:
+        reader = spark.read.option("mergeSchema", True)
+        return reader.option("ignoreCorruptFiles", skip_unreadable).parquet(path)
+    bounds = spark.range(1).select(*[
+        F.date_format(F.lit(at).cast("timestamp"), "yyyy-MM-dd HH") for at in (start, end)
+    ]).first()
+    low, high = ((b[:10], int(b[11:])) if b else None for b in bounds)
+    hours = store_hours(spark, path)
+    wanted = [h for h in hours if (low is None or h >= low) and (high is None or h <= high)]
+    # no folder in range: the newest one gives the columns
+    store = read_store_hours(spark, path, wanted or hours[-1:], skip_unreadable=skip_unreadable)
+    if store is None:
+        return read_bar_store(spark, path, skip_unreadable=skip_unreadable)
+    at = F.col("bar_end").cast("timestamp")
     if start is not None:
-        store = store.where(
-            (day >= F.to_date(F.lit(start)))
-            & ((day > F.to_date(F.lit(start))) | (hour >= F.hour(F.lit(start).cast("timestamp"))))
-            & (F.col("bar_end").cast("timestamp") >= F.lit(start))
-        )
+        store = store.where(at >= F.lit(start).cast("timestamp"))
     if end is not None:
-        store = store.where(
-            (day <= F.to_date(F.lit(end)))
-            & ((day < F.to_date(F.lit(end))) | (hour <= F.hour(F.lit(end).cast("timestamp"))))
-            & (F.col("bar_end").cast("timestamp") <= F.lit(end))
-        )
+        store = store.where(at <= F.lit(end).cast("timestamp"))
     return store
 
 
+def read_newest_hour(spark: SparkSession, path: str, *, skip_unreadable: bool = False) -> DataFrame | None:
+    """The bars of the newest folder of the store; None if there is none."""
+    days = [d for d in folder_names(spark, path) if d.startswith("date=")]
+    for day in sorted(days, reverse=True):
+        hours = store_hours(spark, path, [day.removeprefix("date=")])
+        if hours:
+            return read_store_hours(spark, path, hours[-1:], skip_unreadable=skip_unreadable)
+    return None
+
+
 def read_run_history(spark: SparkSession, path: str) -> DataFrame:
     """Metadata of all runs, newest first."""
     return spark.read.option("mergeSchema", True).parquet(path).orderBy(F.col("run_ts").desc())

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import bar_volume, to_fixed
 from tidemark.functions.prices import SCALE
 from tidemark.operators.bars import flag_late
-from tidemark.sinks.folders import delete_folder, numbered_folders
+from tidemark.folders import delete_folder, numbered_folders
 
 _KEYS = ["source", "symbol"]
 _PARTIAL = (
