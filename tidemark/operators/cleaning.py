@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.blocks import list_array, values_matrix
 from tidemark.operators.ordinals import BEFORE, block_length, own_block
-from tidemark.operators.shape import is_open
 from tidemark.panel import Panel, ordered_unique, universe_frame
 
 
@@ -102,41 +104,51 @@ def fill_gaps(panel: Panel, *, limit: int = 2, direction: str = "both") -> Panel
     last (or, for both, before the first) known value repeat it.
 
     The nearest known value may lie any number of rows away. Each block
-    therefore reports its first and last known value, those short tables are
-    scanned per symbol, and the rows read the result as a carry-in.
+    therefore reports its number of open rows and, per symbol, its first and last
+    known value; these short tables are scanned over the blocks, and each block is
+    filled as a matrix with what is carried in.
     """
     if limit < 1:
         raise ValueError("limit must be >= 1")
     if direction not in ("both", "forward"):
         raise ValueError("direction must be 'both' or 'forward'")
-    length = block_length(panel.width, limit)
-    blocked = panel.rows.withColumn("block", own_block(length)).withColumn("is_open", is_open())
-    base = blocked.repartition("block")
-
-    # o: number of the row among the open rows
-    offsets = (
-        blocked.groupBy("block")
-        .agg(F.expr("count_if(is_open) as _n"))
-        .selectExpr("block", f"coalesce(sum(_n) over (order by block {BEFORE}), 0L) as _offset")
-    )
-    opened = (
-        "count_if(is_open) over (partition by block order by ord"
-        " rows between unbounded preceding and current row)"
-    )
-    rows = (
-        base.withColumn("_opened", F.expr(opened))
-        .join(offsets, "block")
-        .selectExpr("block", "ts", "ord", "is_open", "_offset + _opened as o", "values")
-    )
-    known = "if(x is not null, struct(o, x), null) as known"
-    edges = (
-        rows.selectExpr("block", "o", "posexplode(values) as (pos, x)")
-        .selectExpr("block", "pos", known)
-        .groupBy("block", "pos")
-        .agg(
-            F.expr("min_by(known, known.o) as first_known"),
-            F.expr("max_by(known, known.o) as last_known"),
+    width = panel.width
+    blocked = panel.rows.withColumn("block", own_block(block_length(width, limit)))
+
+    def summary(table: pa.Table) -> pa.Table:
+        table = table.sort_by("ord")
+        x = values_matrix(table.column("values"), width)
+        place, known = _open_places(x), np.isfinite(x)
+        some = known.any(axis=0)
+        first, last = known.argmax(axis=0), len(x) - 1 - known[::-1].argmax(axis=0)
+        at = np.arange(width)
+
+        def cells(values: np.ndarray) -> pa.Array:
+            return list_array(np.where(some, values, np.nan).astype(float).reshape(1, -1))
+
+        return pa.table(
+            {
+                "block": table.column("block").slice(0, 1),
+                "opened": pa.array([int(known.any(axis=1).sum())], pa.int64()),
+                "first_o": cells(place[first]),
+                "first_x": cells(x[first, at]),
+                "last_o": cells(place[last]),
+                "last_x": cells(x[last, at]),
+            }
         )
+
+    lists = "first_o array<double>, first_x array<double>, last_o array<double>, last_x array<double>"
+    edges = blocked.groupBy("block").applyInArrow(summary, f"block bigint, opened bigint, {lists}")
+    # places are counted over all blocks; one row per block and symbol from here on
+    counted = edges.withColumn("_before", F.expr(f"coalesce(sum(opened) over (order by block {BEFORE}), 0L)"))
+    spread = counted.selectExpr(
+        "block", "_before", "posexplode(arrays_zip(first_o, first_x, last_o, last_x)) as (pos, e)"
+    ).selectExpr(
+        "block",
+        "_before",
+        "pos",
+        "if(e.first_x is null, null, struct(e.first_o + _before as o, e.first_x as x)) as first_known",
+        "if(e.last_x is null, null, struct(e.last_o + _before as o, e.last_x as x)) as last_known",
     )
     # Reading forward in descending order keeps the frame growing from its
     # start, which Spark updates in place.
@@ -146,51 +158,49 @@ def fill_gaps(panel: Panel, *, limit: int = 2, direction: str = "both") -> Panel
     following = (
         f"last_value(first_known) ignore nulls over (partition by pos order by block desc {BEFORE})"
     )
-    # one row per block, so that the rows stay where they are in the join
     carried = (
-        edges.selectExpr("block", "pos", f"{prev} as prev", f"{following} as next")
-        .groupBy("block")
-        .agg(F.expr("array_sort(collect_list(struct(pos, prev, next))) as carry"))
-    )
-    so_far = "rows between unbounded preceding and current row"
-    near = (
-        rows.join(carried, "block")
-        .selectExpr("*", "posexplode(values) as (pos, x)")
-        .selectExpr("block", "ts", "ord", "is_open", "o", "pos", "x", known, "carry[pos] as carry")
-        .selectExpr(
-            "block",
-            "ts",
-            "ord",
-            "is_open",
-            "o",
-            "pos",
-            "x",
-            "coalesce(last_value(known) ignore nulls over"
-            f" (partition by block, pos order by ord {so_far}), carry.prev) as prev",
-            "coalesce(last_value(known) ignore nulls over"
-            f" (partition by block, pos order by ord desc {so_far}), carry.next) as next",
-        )
-    )
-    after = f"(prev is not null and o - prev.o <= {limit})"
-    before = f"(next is not null and next.o - o <= {limit})"
-    reached = after if direction == "forward" else f"({after} or {before})"
-    line = (
-        "case when prev is null then next.x when next is null then prev.x"
-        " else prev.x + (next.x - prev.x) * (o - prev.o) / (next.o - prev.o) end"
-    )
-    filled = near.withColumn(
-        "x",
-        F.expr(
-            f"case when x is not null then x when is_open and coalesce({reached}, false) then {line} end"
-        ),
+        spread.selectExpr("block", "_before", "pos", f"{prev} as prev", f"{following} as next")
+        .groupBy("block", "_before")
+        .agg(F.expr("array_sort(collect_list(struct(pos, prev, next))) as c"))
+        .selectExpr("block", "_before", "c.prev.o as prev_o", "c.prev.x as prev_x", "c.next.o as next_o", "c.next.x as next_x")
     )
-    return panel.with_rows(gather(filled, "x"))
 
-
-def gather(cells: DataFrame, value: str) -> DataFrame:
-    """Cells (block, ts, ord, pos, value) back to rows, in place.
-
-    The cells are already placed by block, and a group is one row of the panel.
-    """
-    packed = f"array_sort(collect_list(struct(pos, {value} as v))).v as values"
-    return cells.groupBy("block", "ts", "ord").agg(F.expr(packed))
+    def fill(rows: pa.Table, carry: pa.Table) -> pa.Table:
+        rows = rows.sort_by("ord")
+        x = values_matrix(rows.column("values"), width)
+        place = _open_places(x) + carry.column("_before")[0].as_py()
+        sides = [values_matrix(carry.column(c), width)[0] for c in ("prev_o", "prev_x", "next_o", "next_x")]
+        filled = _filled(x, place, *sides, limit, direction == "both")
+        return pa.table({"ts": rows.column("ts"), "ord": rows.column("ord"), "values": list_array(filled)})
+
+    kind = panel.rows.schema["ts"].dataType.simpleString()
+    both = blocked.groupBy("block").cogroup(carried.groupBy("block"))
+    return panel.with_rows(both.applyInArrow(fill, f"ts {kind}, ord bigint, values array<double>"))
+
+
+def _open_places(x: np.ndarray) -> np.ndarray:
+    """The number of each row among the open rows, as a closed row has that of the open one before it."""
+    return np.cumsum(np.isfinite(x).any(axis=1)).astype(float)
+
+
+def _filled(x, place, prev_o, prev_x, next_o, next_x, limit: int, both: bool) -> np.ndarray:
+    """The block with gaps filled; the sides are the nearest known values outside, NaN where there is none."""
+    rows, width = x.shape
+    known, at = np.isfinite(x), np.arange(width)
+    number = np.arange(rows)[:, None]
+    last = np.maximum.accumulate(np.where(known, number, -1), axis=0)
+    coming = np.minimum.accumulate(np.where(known, number, rows)[::-1], axis=0)[::-1]
+    o = place[:, None]
+    before_o = np.where(last >= 0, place[last.clip(0)], prev_o)
+    before_x = np.where(last >= 0, x[last.clip(0), at], prev_x)
+    after_o = np.where(coming < rows, place[coming.clip(None, rows - 1)], next_o)
+    after_x = np.where(coming < rows, x[coming.clip(None, rows - 1), at], next_x)
+    has_before, has_after = np.isfinite(before_x), np.isfinite(after_x)
+    near = has_before & (o - before_o <= limit)
+    if both:
+        near |= has_after & (after_o - o <= limit)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        line = before_x + (after_x - before_x) * (o - before_o) / (after_o - before_o)
+    line = np.where(has_before, np.where(has_after, line, before_x), after_x)
+    reached = near & known.any(axis=1)[:, None]
+    return np.where(known, x, np.where(reached, line, np.nan))

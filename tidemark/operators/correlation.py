@@ -6,40 +6,40 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.blocks import list_array, values_matrix
 from tidemark.operators.shape import is_complete
 from tidemark.panel import Panel
 
-_MOMENTS = (
-    "pos_a int, pos_b int, n bigint, mean_a double, mean_b double,"
-    " ss_a double, ss_b double, ss_ab double"
-)
+#: Symbols on a side of a tile of the pair matrix, and partial tiles that one task pools first.
+TILE, FAN_IN = 256, 32
 
+_NAMES = ("n", "mean_a", "mean_b", "ss_a", "ss_b", "ss_ab")
+_TILES = "tile int, part int, " + ", ".join(f"{c} array<double>" for c in _NAMES)
+_PAIRS = "pos_a int, pos_b int, " + ", ".join(f"{c} double" for c in _NAMES)
 
-def values_matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
-    """Arrow list column to a (rows, width) array, NaN where missing."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
 
-
-def _pair_sums(x: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Count, means and centred sums of every column pair over rows where both are known."""
+def _centred(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether a value is known, the column means, and values about them."""
     known = np.isfinite(x)
-    has = known.astype(float)
-    count = known.sum(axis=0)
-    shift = np.where(known, x, 0.0).sum(axis=0) / np.maximum(count, 1)
-    y = np.where(known, x - shift, 0.0)
-    n = has.T @ has
+    shift = np.where(known, x, 0.0).sum(axis=0) / np.maximum(known.sum(axis=0), 1)
+    return known.astype(float), shift, np.where(known, x - shift, 0.0)
+
+
+def _pair_sums(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """Count, means and centred sums of the column pairs of two tiles over rows where both are known."""
+    (has_a, shift_a, y_a), (has_b, shift_b, y_b) = a, b
+    n = has_a.T @ has_b
     safe = np.maximum(n, 1.0)
-    total = y.T @ has
-    square = (y * y).T @ has
-    mean = total / safe
-    ss = square - total * mean
-    ss_ab = y.T @ y - total * mean.T
-    return n, mean + shift[:, None], mean.T + shift[None, :], ss, ss.T, ss_ab
+    total_a, total_b = y_a.T @ has_b, has_a.T @ y_b
+    mean_a, mean_b = total_a / safe, total_b / safe
+    ss_a = (y_a * y_a).T @ has_b - total_a * mean_a
+    ss_b = has_a.T @ (y_b * y_b) - total_b * mean_b
+    ss_ab = y_a.T @ y_b - total_a * mean_b
+    return n, mean_a + shift_a[:, None], mean_b + shift_b[None, :], ss_a, ss_b, ss_ab
 
 
 def _merge(a: tuple[np.ndarray, ...] | None, b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
@@ -61,47 +61,64 @@ def _merge(a: tuple[np.ndarray, ...] | None, b: tuple[np.ndarray, ...]) -> tuple
     )
 
 
+def _pooled(table: pa.Table) -> list[np.ndarray]:
+    """The moments of one tile over all rows of the table."""
+    columns = [table.column(c).combine_chunks() for c in _NAMES]
+    width = len(columns[0][0])
+    parts = [c.flatten().to_numpy().reshape(-1, width) for c in columns]
+    pooled = None
+    for i in range(table.num_rows):
+        pooled = _merge(pooled, tuple(p[i] for p in parts))
+    return list(pooled)
+
+
 def pair_moments(rows: DataFrame, width: int) -> DataFrame:
     """Per symbol pair: n, means and centred sums over the rows where both are known.
 
-    Each task reduces its rows to one matrix, so what is shuffled depends on
-    the number of tasks and symbols, not on the number of rows.
+    A task reduces its rows to one matrix per tile of ``TILE`` x ``TILE`` pairs, each a row of
+    arrays. Tiles are pooled in two levels, FAN_IN groups of tasks first, and unpacked to pairs at
+    the end, so that rows shuffled grow with tasks x tiles and no task holds the whole matrix.
     """
-    upper = np.triu_indices(width, 1)
+    cuts = list(range(0, width, TILE))
+    tiles = [(a, b) for a in range(len(cuts)) for b in range(a, len(cuts))]
 
     def reduce_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pooled = None
+        held: list = [None] * len(tiles)
         for batch in batches:
             if batch.num_rows:
-                pooled = _merge(pooled, _pair_sums(values_matrix(batch.column(0), width)))
-        if pooled is not None:
-            picked = [m[upper] for m in pooled]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(upper[0].astype(np.int32)),
-                    pa.array(upper[1].astype(np.int32)),
-                    pa.array(picked[0].astype(np.int64)),
-                    *[pa.array(m) for m in picked[1:]],
-                ],
-                names=["pos_a", "pos_b", "n", "mean_a", "mean_b", "ss_a", "ss_b", "ss_ab"],
-            )
-
-    parts = rows.select("values").mapInArrow(reduce_task, _MOMENTS)
-    pair = Window.partitionBy("pos_a", "pos_b")
-
-    def overall(mean: str):
-        weighted = F.sum(F.col("n") * F.col(mean)).over(pair)
-        return F.try_divide(weighted, F.sum("n").over(pair))
-
-    centred = parts.withColumns(
-        {"step_a": F.col("mean_a") - overall("mean_a"), "step_b": F.col("mean_b") - overall("mean_b")}
-    )
-    return centred.groupBy("pos_a", "pos_b").agg(
-        F.sum("n").alias("n"),
-        F.sum(F.col("ss_a") + F.col("n") * F.col("step_a") * F.col("step_a")).alias("ss_a"),
-        F.sum(F.col("ss_b") + F.col("n") * F.col("step_b") * F.col("step_b")).alias("ss_b"),
-        F.sum(F.col("ss_ab") + F.col("n") * F.col("step_a") * F.col("step_b")).alias("ss_ab"),
-    )
+                x = values_matrix(batch.column(0), width)
+                sides = [_centred(x[:, at : at + TILE]) for at in cuts]
+                for i, (a, b) in enumerate(tiles):
+                    held[i] = _merge(held[i], _pair_sums(sides[a], sides[b]))
+        part = TaskContext.get().partitionId() % FAN_IN
+        for i, moments in enumerate(held):
+            if moments is not None:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i], pa.int32()), pa.array([part], pa.int32()), *[list_array(m.reshape(1, -1)) for m in moments]],
+                    names=["tile", "part", *_NAMES],
+                )
+
+    def pool(table: pa.Table) -> pa.Table:
+        moments = _pooled(table)
+        return pa.table(
+            {
+                "tile": table.column("tile").slice(0, 1),
+                "part": pa.array([0], pa.int32()),
+                **{c: list_array(m.reshape(1, -1)) for c, m in zip(_NAMES, moments)},
+            }
+        )
+
+    def unpack(table: pa.Table) -> pa.Table:
+        a, b = tiles[table.column("tile")[0].as_py()]
+        high, wide = min(TILE, width - cuts[a]), min(TILE, width - cuts[b])
+        at = np.triu_indices(high, 1, wide) if a == b else np.indices((high, wide)).reshape(2, -1)
+        picked = [m.reshape(high, wide)[at[0], at[1]] for m in _pooled(table)]
+        columns = {"pos_a": (at[0] + cuts[a]).astype(np.int32), "pos_b": (at[1] + cuts[b]).astype(np.int32)}
+        return pa.table({**columns, **dict(zip(_NAMES, picked))})
+
+    parts = rows.select("values").mapInArrow(reduce_task, _TILES)
+    grouped = parts.groupBy("tile", "part").applyInArrow(pool, _TILES)
+    return grouped.groupBy("tile").applyInArrow(unpack, _PAIRS)
 
 
 def correlation(panel: Panel, *, deletion: str = "listwise", full: bool = False) -> DataFrame:

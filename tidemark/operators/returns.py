@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import gather
+from tidemark.operators.blocks import by_block, running_moments
 from tidemark.operators.ordinals import block_length, renumber, with_halo
 from tidemark.operators.shape import is_complete
 from tidemark.panel import Panel
@@ -46,30 +47,28 @@ def _guarded(sd: str, eps: float) -> str:
 def rolling_zscore_cells(
     panel: Panel, *, window: int = 60, eps: float = 1e-9, drop_partial: bool = False
 ) -> DataFrame:
-    """(block, ts, ord, pos, value): z-score of each cell against its last ``window`` rows.
+    """(ts, ord, pos, value): z-score of each cell against its last ``window`` rows."""
+    rows = _zscore_rows(panel, window, eps, drop_partial)
+    return rows.selectExpr("ts", "ord", "posexplode(values) as (pos, value)")
+
+
+def _zscore_rows(panel: Panel, window: int, eps: float, drop_partial: bool) -> DataFrame:
+    """(ts, ord, values): z-scores, row by row.
 
     Mean and population deviation include the row itself. A frame that is not
     full, or that misses a value, gives NULL; ``drop_partial`` leaves out the
-    rows before the first full frame.
+    rows before the first full frame. A cell costs the same whatever the window.
     """
     if window < 2:
         raise ValueError("window must be >= 2")
-    reach = window - 1
-    spread = with_halo(panel.rows, block_length(panel.width, reach), reach).repartition("block")
-    cells = spread.selectExpr("block", "own", "ts", "ord", "posexplode(values) as (pos, x)")
-    frame = f"over (partition by block, pos order by ord rows between {reach} preceding and current row)"
-    scored = cells.selectExpr(
-        "*",
-        f"avg(x) {frame} as _mean",
-        f"stddev_pop(x) {frame} as _sd",
-        f"count(x) {frame} as _n",
-    ).where("block = own")
-    if drop_partial:
-        scored = scored.where(f"ord >= {reach}")
-    z = f"(x - _mean) / {_guarded('_sd', eps)}"
-    return scored.selectExpr(
-        "block", "ts", "ord", "pos", f"if(_n = {window}, {z}, null) as value"
-    )
+
+    def compute(x: np.ndarray, start: int) -> list[np.ndarray]:
+        mean, squares = running_moments(x, window)
+        sd = np.sqrt(squares / window)
+        return [(x - mean) / np.where(sd == 0.0, eps, sd)]
+
+    rows = by_block(panel, window - 1, compute, ["values"])
+    return rows.where(f"ord >= {window - 1}") if drop_partial else rows
 
 
 def rolling_zscore(
@@ -83,8 +82,7 @@ def rolling_zscore(
     """The z-score panel. With ``drop_partial`` rows are numbered from the first full frame."""
     if strict:
         _require_rows(panel, window, "a rolling z-score")
-    cells = rolling_zscore_cells(panel, window=window, eps=eps, drop_partial=drop_partial)
-    rows = gather(cells, "value")
+    rows = _zscore_rows(panel, window, eps, drop_partial)
     if drop_partial:
         rows = rows.withColumn("ord", F.col("ord") - F.lit(window - 1))
     return panel.with_rows(rows)
