@@ -13,7 +13,8 @@ Lists are not squared. Rows of a list first meet its centre, the row whose lists
 group of copies that is the text the others were made from. Components of these links are found,
 and only rows that still lie in different components are paired. A list of more than ``LONG`` rows
 in several components comes from a passage that unrelated texts share. A row with at least ``FREE``
-cells outside such lists meets its partners there; the others meet in lists of their rarest values.
+cells outside such lists meets its partners there; the others meet in lists of their rarest values,
+or, in groups where these are long as well, in a blocked product of their full sets.
 
 Pairs are estimated on the bottom k of the union of both sketches, and what passes is confirmed on
 full sets. An estimate of ``LEAST``/``K`` lets a true link fail with a probability under 1e-9. Two
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.block_product import linked_in_groups
 from tidemark.llm.common import slices, small_side, staged, whole
 from tidemark.llm.components import components
 from tidemark.llm.ngram_join import Shingler, node_of
@@ -163,16 +165,22 @@ def _fit(a: str, b: str, percent: int) -> Column:
 _ROW = ("node", "n", "rest", "root")
 
 
-def _side(rows: DataFrame, name: str) -> DataFrame:
-    return rows.select("kind", "value", *[F.col(c).alias(f"{c}_{name}") for c in _ROW])
+def _side(rows: DataFrame, name: str, extra: list[str]) -> DataFrame:
+    return rows.select("kind", "value", *[F.col(c).alias(f"{c}_{name}") for c in (*_ROW, *extra)])
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of rows of one list, smaller node first; a pair of several lists comes several times."""
+def _pairs(left: DataFrame, right: DataFrame, percent: int, apart: str | None = None) -> DataFrame:
+    """(a, b) of rows of one list, smaller node first; a pair of several lists comes several times.
+
+    Rows that agree in the column ``apart`` make no pair.
+    """
     fit = _fit("a", "b", percent)
     if left is right:
         fit = (F.col("node_a") < F.col("node_b")) & fit
-    both = _side(left, "a").join(_side(right, "b"), ["kind", "value"]).filter(fit)
+    extra = [] if apart is None else [apart]
+    if apart:
+        fit = fit & F.coalesce(F.col(f"{apart}_a") != F.col(f"{apart}_b"), F.lit(True))
+    both = _side(left, "a", extra).join(_side(right, "b", extra), ["kind", "value"]).filter(fit)
     return both.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
 
 
@@ -210,14 +218,19 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "node binary, shingles array<long>")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked by their full sets, made again from the texts of both."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+def _full_sets(nodes: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of the nodes, made again from their texts."""
     named = classes.join(nodes, "node", "left_semi").select("node", F.col("first_id").alias("fid"))
     ids = small_side(staged(named.select("fid").distinct(), "dedup-ids"))
     involved = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("fid")), "left_semi")
     # rows that share an id may hold one set twice
-    sets = staged(_sets(involved, size), "dedup-sets").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return staged(_sets(involved, size), "dedup-sets").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked by their full sets."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _full_sets(nodes, classes, texts, size)
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
@@ -225,6 +238,14 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int
     return both.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def _dense(rare: DataFrame, crowded: DataFrame) -> DataFrame:
+    """(hub) of the groups whose rows meet so often in lists of values that comparing all is less work."""
+    meetings = rare.groupBy("hub", "value").agg(F.count(F.lit(1)).cast("double").alias("k"))
+    meetings = meetings.groupBy("hub").agg(F.sum(F.col("k") * F.col("k")).alias("meetings"))
+    sizes = crowded.groupBy("hub").agg(F.count(F.lit(1)).cast("double").alias("rows"))
+    return meetings.join(sizes, "hub").filter(F.col("meetings") > F.col("rows") * F.col("rows")).select("hub")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2, percent: int = 80
 ) -> DataFrame:
@@ -284,12 +305,20 @@ def near_duplicates(
     in_long = in_long.groupBy("node").agg(F.count(F.lit(1)).alias("long"), F.first("cells").alias("cells"))
     crowded = lying.filter((F.col("kind") == CELL) & (F.col("rows") > LONG)).select("node", "root").distinct()
     crowded = crowded.join(in_long.filter(F.col("cells") - F.col("long") < FREE), "node", "left_semi")
-    crowded = staged(crowded, "dedup-crowded")
+    # the row whose lists are longest, of those that share a long list with a row
+    tops = weighed.filter((F.col("kind") == CELL) & (F.col("rows") > LONG))
+    tops = tops.groupBy("value").agg(F.max(F.struct("weight", "node")).alias("top"))
+    hubs = weighed.filter(F.col("kind") == CELL).select("node", "value").join(tops, "value")
+    hubs = hubs.groupBy("node").agg(F.max("top")["node"].alias("hub"))
+    crowded = staged(crowded.join(hubs, "node"), "dedup-crowded")
     own = classes.join(crowded.select("node"), "node", "left_semi")
-    rare = _met(_postings(own, counts, percent, crowded=True)).join(crowded, "node")
-    rare = staged(rare, "dedup-rare")
-    rest = staged(rest.union(_pairs(rare, rare, percent)).distinct(), "dedup-rest")
-    more = linked(rest)
+    rare = staged(_met(_postings(own, counts, percent, crowded=True)).join(crowded, "node"), "dedup-rare")
+    dense = staged(_dense(rare, crowded), "dedup-dense")
+    rare = rare.join(small_side(dense.withColumn("group", F.col("hub"))), "hub", "left")
+    rest = staged(rest.union(_pairs(rare, rare, percent, apart="group")).distinct(), "dedup-rest")
+    grouped = crowded.join(small_side(dense), "hub", "left_semi")
+    sets = _full_sets(grouped.select("node"), classes, texts, size)
+    more = linked(rest).union(linked_in_groups(grouped, sets, percent))
     if more.limit(1).count():
         joined = components(links.union(more))
 
