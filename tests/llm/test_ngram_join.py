@@ -84,6 +84,28 @@ def test_repeated_ids_and_long_texts(spark):
     assert ngram_join.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_pairs_of_a_group_around_the_threshold_stay_linear(spark, monkeypatch):
+    """Copies of one text, three of 200 words changed in each: far and near pairs, all in one group."""
+    made = []
+    plain = ngram_join._linked
+    for count in (60, 120):
+        rng = random.Random(9)
+        base = [f"w{i}" for i in range(200)]
+        texts = []
+        for _ in range(count):
+            words = list(base)
+            for k in rng.sample(range(200), 3):
+                words[k] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+        pairs = []
+        monkeypatch.setattr(ngram_join, "_linked", lambda p, *a: (pairs.append(p.count()), plain(p, *a))[1])
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()}
+        assert found == dict(enumerate(by_hand(texts)[1]))
+        made.append(sum(pairs))
+    assert made[1] < 3 * made[0]
+
+
 def test_shingler_equals_sets():
     cut = ngram_join.Shingler()
     for text in corpus(3):

@@ -9,8 +9,10 @@ that cannot reach the bound that the two sizes set are dropped before overlaps a
 The columns are dealt out by shingle; a column with very many rows is dealt to several tasks. Since
 components are wanted and not pairs, a column is not squared: first each of its rows meets a few
 rows, the column's centres, and the overlaps of these pairs give most links. Columns whose rows
-still lie in several components after some rounds are multiplied out between components, which
-finds every link that is left. No link between two components is missed, and no group of copies is paired up.
+still lie in several components after some rounds are multiplied out: groups whose columns are crowded
+as a product of blocks of documents, which adds up overlap counts in the worker and sends on a forest of
+links; other columns pair by pair between components. No link between two components is missed, and no
+group of copies is paired up.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tidemark.llm.block_product import linked_in_groups
 from tidemark.llm.common import slices, small_side, staged, whole
 from tidemark.llm.components import components
 
@@ -208,6 +211,23 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * common >= percent * union).select("a", "b")
 
 
+def _hubs(lying: DataFrame) -> DataFrame:
+    """(hub, node, root): each row's hub is the row of the fullest columns among those it shares a column with."""
+    rows = lying.join(lying.groupBy("column").agg(F.count(F.lit(1)).alias("rows")), "column")
+    weighed = rows.join(rows.groupBy("node").agg(F.sum("rows").alias("weight")), "node")
+    tops = weighed.groupBy("column").agg(F.max(F.struct("weight", "node")).alias("top"))
+    met = lying.select("column", "node", "root").join(tops, "column")
+    return met.groupBy("node", "root").agg(F.max("top")["node"].alias("hub"))
+
+
+def _dense(lying: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(hub) of the groups whose rows meet so often in columns that comparing all is less work."""
+    meetings = lying.groupBy("hub", "column").agg(F.count(F.lit(1)).cast("double").alias("k"))
+    meetings = meetings.groupBy("hub").agg(F.sum(F.col("k") * F.col("k")).alias("meetings"))
+    sizes = hubs.groupBy("hub").agg(F.count(F.lit(1)).cast("double").alias("rows"))
+    return meetings.join(sizes, "hub").filter(F.col("meetings") > F.col("rows") * F.col("rows")).select("hub")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -241,6 +261,16 @@ def near_duplicates(
     held = met.groupBy("node").agg(F.max("n").alias("n"), F.collect_list("column").alias("columns"))
     held = staged(held, "shingle-held")
 
+    def full_sets(nodes: DataFrame) -> DataFrame:
+        """(node, shingles) of the nodes, made again from their texts; ids that repeat bring others along."""
+        ids = staged(classes.join(nodes, "node", "left_semi").select(F.col("first_id").alias("fid")).distinct(), "shingle-named")
+        involved = texts.join(small_side(ids), F.col("doc_id").eqNullSafe(F.col("fid")), "left_semi")
+        sets = staged(_sets(involved, size), "shingle-sets")
+        # only ids that occur more than once can name a set twice
+        if sets.groupBy("node").count().filter("count > 1").limit(1).count():
+            sets = sets.dropDuplicates(["node"])
+        return sets
+
     def overlapping(candidates: DataFrame) -> DataFrame:
         """The linked ones of the pairs (a, b).
 
@@ -255,13 +285,7 @@ def near_duplicates(
         both = both.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
         both = staged(both, "shingle-candidates")
         named = both.select(F.col("a").alias("node")).union(both.select(F.col("b").alias("node"))).distinct()
-        ids = staged(classes.join(named, "node", "left_semi").select(F.col("first_id").alias("fid")).distinct(), "shingle-named")
-        involved = texts.join(small_side(ids), F.col("doc_id").eqNullSafe(F.col("fid")), "left_semi")
-        sets = staged(_sets(involved, size), "shingle-sets")
-        # only ids that occur more than once can name a set twice
-        if sets.groupBy("node").count().filter("count > 1").limit(1).count():
-            sets = sets.dropDuplicates(["node"])
-        return _linked(both, sets, percent)
+        return _linked(both, full_sets(named), percent)
 
     # each row of a column meets a few rows of it, chosen anew in each round; then only columns
     # whose rows lie in several components go on
@@ -280,21 +304,31 @@ def near_duplicates(
         mixed = small_side(staged(mixed.filter("roots > 1").select("column", "main"), "shingle-mixed"))
         lying = staged(lying.join(mixed, "column"), "shingle-lying")
 
-    # between the components of a column, every product
+    # what is left lies in columns of several components: rows of one hub in blocks where their columns
+    # are crowded, other rows column by column
+    hubs = staged(_hubs(lying), "shingle-hubs")
+    dense = staged(_dense(lying.join(hubs.select("node", "hub"), "node"), hubs), "shingle-dense")
+    grouped = staged(hubs.join(small_side(dense), "hub", "left_semi"), "shingle-grouped")
+    group = grouped.select("node", F.col("hub").alias("group"))
+    lying = lying.join(small_side(group), "node", "left")
+
     def side(x: str) -> DataFrame:
-        own = [F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "pos", "root")]
+        own = [F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "pos", "root", "group")]
         return lying.select("column", *own, (F.col("root") == F.col("main")).alias(f"main_{x}"))
 
     few, every = side("a").filter(~F.col("main_a")), side("b")
     fit = (
         (F.col("root_a") != F.col("root_b"))
         & (F.col("main_b") | (F.col("node_a") < F.col("node_b")))
+        & F.coalesce(F.col("group_a") != F.col("group_b"), F.lit(True))
         & _sizes_allow(F.col("n_a"), F.col("n_b"), percent)
         & _overlap_allows("a", "b", percent)
     )
     others = few.join(every, "column").filter(fit)
     others = staged(others.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "shingle-others")
     more = staged(overlapping(others), "shingle-more")
+    blocked = linked_in_groups(grouped, full_sets(grouped.select("node")), percent)
+    more = more.union(blocked.select("a", "b"))
     if more.limit(1).count():
         joined = components(links.union(more))
 
