@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from panels import days, panel_of, prices, tidy_to_wide
 
+from tidemark.operators import blocks as kernels
 from tidemark.operators import factors
 from tidemark.operators.correlation import correlation, correlation_outliers
 from tidemark.operators.factors import (
@@ -18,7 +19,7 @@ SYMBOLS = ["A", "B", "C", "D"]
 @pytest.fixture(params=[None, "small"])
 def blocks(request, monkeypatch):
     if request.param:
-        monkeypatch.setattr(factors, "block_length", lambda width, reach: max(7, reach))
+        monkeypatch.setattr(kernels, "block_length", lambda width, reach: max(7, reach))
         monkeypatch.setattr(factors, "_CHUNK_BYTES", 2048)
 
 

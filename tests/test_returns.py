@@ -4,6 +4,7 @@ import pytest
 from pandas.testing import assert_frame_equal
 from panels import days, panel_of, prices, to_wide
 
+from tidemark.operators import blocks as kernels
 from tidemark.operators import returns
 from tidemark.operators.returns import (
     latest_by_symbol,
@@ -18,6 +19,7 @@ from tidemark.operators.returns import (
 def blocks(request, monkeypatch):
     if request.param:
         monkeypatch.setattr(returns, "block_length", lambda width, reach: max(5, reach))
+        monkeypatch.setattr(kernels, "block_length", lambda width, reach: max(5, reach))
 
 
 def reference_z(wide, window, eps=1e-9):
