@@ -9,8 +9,10 @@ def mix_sql(weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 17)
     return f"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY source, doc_id, size) - 1 AS number FROM sized
 ), pulls AS (
-    SELECT *, floor(sqrt(size))::BIGINT AS pull FROM sized
+    SELECT *, floor(sqrt(size))::BIGINT AS pull FROM numbered
 ), per_source AS (
     SELECT source, sum(size)::BIGINT AS source_size, sum(size * pull)::BIGINT AS pulled FROM pulls GROUP BY source
 ), weighted AS (
@@ -33,8 +35,8 @@ WITH sized AS (
            target - CASE WHEN source_size > 0 THEN least(floor(target / source_size), {most}) ELSE 0 END::INT * source_size AS rest
     FROM goals
 ), odds AS (
-    SELECT doc_id, size, r.*, rest * pull / nullif(r.pulled, 0) AS likely,
-           (('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5::DOUBLE) / {2**52}::DOUBLE AS luck
+    SELECT doc_id, size, number, r.*, rest * pull / nullif(r.pulled, 0) AS likely,
+           (('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || size || ':' || number), 1, 13))::BIGINT + 0.5::DOUBLE) / {2**52}::DOUBLE AS luck
     FROM pulls JOIN rests r ON pulls.source IS NOT DISTINCT FROM r.source
 ), ranked AS (
     SELECT *, CASE WHEN rest > 0 AND size > 0 AND certain < {most} THEN
@@ -42,7 +44,7 @@ WITH sized AS (
     FROM odds
 ), summed AS (
     SELECT *, sum(size) FILTER (WHERE ratio IS NOT NULL)
-                  OVER (PARTITION BY source ORDER BY ratio NULLS LAST, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS upto,
+                  OVER (PARTITION BY source ORDER BY ratio NULLS LAST, doc_id NULLS FIRST, size, number ROWS UNBOUNDED PRECEDING) AS upto,
            sum(size) FILTER (WHERE ratio IS NOT NULL) OVER (PARTITION BY source) AS all_words
     FROM ranked
 ), drawn AS (
@@ -51,11 +53,14 @@ WITH sized AS (
                                                                 OVER (PARTITION BY source), 0) END AS gap
     FROM summed
 ), extras AS (
-    SELECT source, min((abs(gap - size), doc_id, size)) AS x FROM drawn
+    SELECT source, min((abs(gap - size), doc_id IS NOT NULL, doc_id, size, number)) AS x FROM drawn
     WHERE ratio IS NOT NULL AND NOT once AND abs(gap - size) < abs(gap) GROUP BY source
 )
 SELECT doc_id, size, source_size, target,
-       certain + CASE WHEN once OR (ratio IS NOT NULL AND doc_id = x[2] AND size = x[3]) THEN 1 ELSE 0 END AS copies,
-       ((certain + CASE WHEN once OR (ratio IS NOT NULL AND doc_id = x[2] AND size = x[3]) THEN 1 ELSE 0 END) * size)::BIGINT AS taken, drawn.source
-FROM drawn LEFT JOIN extras ON drawn.source IS NOT DISTINCT FROM extras.source
+       certain + once_more AS copies, ((certain + once_more) * size)::BIGINT AS taken, source, number
+FROM (
+    SELECT drawn.*, CASE WHEN once OR (ratio IS NOT NULL AND x IS NOT NULL AND doc_id IS NOT DISTINCT FROM x[3]
+                                       AND size = x[4] AND number = x[5]) THEN 1 ELSE 0 END AS once_more
+    FROM drawn LEFT JOIN extras ON drawn.source IS NOT DISTINCT FROM extras.source
+)
 """
