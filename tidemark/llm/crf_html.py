@@ -353,13 +353,16 @@ def _fits(blocks: list[Block], start: int, body: list[str]) -> bool:
 
 
 def fit(pages: DataFrame, html_col: str = "html", sample_rows: int = 600, longest: int = 50_000) -> Field:
-    """A field trained on at most ``sample_rows`` pages of at most ``longest`` characters, chosen by a hash.
+    """A field trained on at most ``sample_rows`` different pages of at most ``longest`` characters, chosen by a hash.
 
-    The bounds hold for training alone. A table without marked pages trains on laid out pages.
+    The bounds hold for training alone. A table without marked pages trains on laid out pages. The
+    tasks report hashes; only the chosen pages themselves reach the driver.
     """
     own = pages.select(F.col(html_col).cast("string").alias("html")).filter(F.length("html").between(1, longest))
-    rows = own.withColumn("h", F.xxhash64("html")).orderBy("h", "html").limit(sample_rows).collect()
-    return Field.fit(training_pages([r["html"] for r in rows]))
+    own = own.withColumn("h", F.xxhash64("html"))
+    hashes = [r["h"] for r in own.select("h").distinct().orderBy("h").limit(sample_rows).collect()]
+    chosen = own.filter(F.col("h").isin(hashes)).groupBy("h").agg(F.min("html").alias("html"))
+    return Field.fit(training_pages([r["html"] for r in sorted(chosen.collect())]))
 
 
 def main_text(html: str, field: Field) -> str:
