@@ -14,7 +14,7 @@ import __spark_entry__ as entry
 SAMPLE = (
     "price_panel zombie_replacements gap_fill_closed_rows log_returns_all_rows correlation_pairwise"
     " ohlcv_bars late_ticks bars_fixed_point store_freshness backfill_mixed_store"
-    " feed_scores p95_rank_all decode_object_feed epoch_units stream_bars_exact"
+    " feed_scores p95_rank_all decode_object_feed epoch_units stream_bars_exact stream_counters"
 ).split()
 NAMES = list(entry.oracle_sql()) if os.environ.get("QUERY_TESTS") == "all" else SAMPLE
 

@@ -9,9 +9,11 @@ from tidemark.operators.bars import bars, late_ticks
 from tidemark.sinks.reports import event_rows
 from tidemark.sources import read_bar_store
 from tidemark.streaming import (
+    CountingWriter,
     ExactBarWriter,
     compaction_writer,
     event_writer,
+    read_counters,
     read_exact_bars,
     read_late_ticks,
     retention_writer,
@@ -209,3 +211,19 @@ def test_clock_closes_bars_of_the_exact_writer(spark, tmp_path):
     writer = ExactBarWriter(writer.path, clock=lambda batch: at(900))
     writer(spark.createDataFrame([], TICK), 3)
     assert found() == expected
+
+
+def test_counters(spark, source, ticks, tmp_path):
+    """Counters per micro-batch add up to the batch ones; a micro-batch run again counts once."""
+    writer = CountingWriter(ExactBarWriter(str(tmp_path / "bars")), str(tmp_path / "counters"), now=lambda batch: at(0))
+    run_batches(source, tmp_path, writer)
+    writer(ticks.where("seq >= 300"), 3)
+    rows = {r.batch: r for r in read_counters(spark, writer.path).collect()}
+    assert sorted(rows) == [0, 1, 2, 3] and all(r.ticks_received == 100 for r in rows.values())
+    late = sum(r.late_ticks for r in late_ticks(ticks).collect())
+    assert late > 0 and sum(r.late_ticks_dropped for r in rows.values()) == late
+    finished = read_exact_bars(spark, writer.bars.path)
+    assert sum(r.bars_written for r in rows.values()) == finished.count()
+    newest = finished.orderBy("bar_end", ascending=False).first().bar_end
+    assert max(r.last_bar_end for r in rows.values()) == newest
+    assert all(r.ingest_lag_ms == 0.0 for r in rows.values())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +13,11 @@ from tidemark.session import use_utc, work_dir
 from tidemark.schemas import with_utc
 from tidemark.sources.files import read_bar_store
 from tidemark.streaming import (
+    CountingWriter,
     ExactBarWriter,
     batch_bars,
     compaction_writer,
+    read_counters,
     read_exact_bars,
     retention_writer,
     stream_bars,
@@ -26,6 +28,9 @@ from tidemark.streaming import (
 #: Parts of the event table, in arrival order, each a micro-batch of so many files.
 PARTS, FILES = 4, 4
 
+#: The time that lag is measured at.
+COUNTED = datetime(2024, 1, 31, 1)
+
 
 def _part(arrival, first: int, last: int):
     return F.floor((arrival - F.lit(first)) * PARTS / F.lit(last - first + 1))
@@ -106,6 +111,14 @@ def clock_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_exact_bars(spark, f"{folder}/out")
 
 
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row of counters per micro-batch of the exact writer."""
+    folder = work_dir(spark, "stream-counters")
+    writer = CountingWriter(ExactBarWriter(f"{folder}/out"), f"{folder}/counters", now=lambda batch: COUNTED)
+    _run_batches(_tick_stream(spark, sf_dir), folder, writer)
+    return read_counters(spark, f"{folder}/counters")
+
+
 def stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute bars closed by a later tick; the newest bar of a symbol stays open."""
     found = _run_to_table(stream_bars_stateful(_tick_stream(spark, sf_dir)), "stream-stateful")
@@ -146,6 +159,7 @@ QUERIES = {
     "stream_bars": watermarked,
     "stream_bars_exact": exact,
     "stream_clock_close": clock_close,
+    "stream_counters": stream_counters,
     "stream_bars_stateful": stateful,
     "stream_late_ticks": stateful_late,
     "stream_retention": retention,
@@ -196,6 +210,22 @@ QUALIFY bar_start < max(bar_start) OVER (PARTITION BY symbol)""",
         _TICKS + b.flagged_sql(),
         select="SELECT symbol, count(*) FILTER (WHERE is_late) AS late_ticks FROM flagged GROUP BY symbol",
     ),
+    "stream_counters": _with(
+        _TICKS + b.flagged_sql(),
+        select=f""", parted AS (
+  SELECT *, CAST(floor((seq - min(seq) OVER ()) * {PARTS} / (max(seq) OVER () - min(seq) OVER () + 1)) AS BIGINT) AS batch
+  FROM flagged),
+received AS (
+  SELECT batch, count(*) AS ticks_received, count(*) FILTER (WHERE is_late) AS late_ticks_dropped FROM parted GROUP BY batch),
+starts AS (SELECT source, symbol, bar_start, min(batch) AS batch FROM parted WHERE NOT is_late GROUP BY ALL),
+closed AS (
+  SELECT bar_start + INTERVAL 1 MINUTE AS bar_end, lead(batch) OVER (PARTITION BY source, symbol ORDER BY bar_start) AS batch FROM starts),
+written AS (SELECT batch, count(*) AS bars_written, max(bar_end) AS last_bar_end FROM closed WHERE batch IS NOT NULL GROUP BY batch)
+SELECT batch, ticks_received, late_ticks_dropped, coalesce(bars_written, 0) AS bars_written, last_bar_end,
+  CASE WHEN last_bar_end IS NOT NULL THEN
+    greatest(0.0, CAST((epoch_us(TIMESTAMP '2024-01-31 01:00:00') - epoch_us(last_bar_end)) AS DOUBLE) / 1000) END AS ingest_lag_ms
+FROM received LEFT JOIN written USING (batch)""",
+    ),
     "stream_retention": _with(
         _TICKS + b.flagged_sql() + b.bars_sql(),
         select=f"""SELECT {_COLUMNS}, seq FROM bars

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import bar_volume, to_fixed
 from tidemark.functions.prices import SCALE
+from tidemark.functions.values import lag_ms
 from tidemark.operators.bars import flag_late
 from tidemark.folders import delete_folder, numbered_folders
 
 _KEYS = ["source", "symbol"]
 _PARTIAL = (
     "source string, symbol string, bar_start timestamp, open double, high double, low double,"
-    " close double, size double, first_seq bigint, last_seq bigint, late bigint"
+    " close double, size double, first_seq bigint, last_seq bigint, late bigint, kept bigint"
 )
 _NAMES = [part.split()[0] for part in _PARTIAL.split(", ")]
 
@@ -69,6 +70,7 @@ class ExactBarWriter:
             F.expr("min(seq) filter (where not is_late) as first_seq"),
             F.expr("max(seq) filter (where not is_late) as last_seq"),
             F.expr("count_if(is_late) as late"),
+            F.expr("count_if(not is_late) as kept"),
         )
         # a bar with only late ticks holds nothing but their number
         bars = (
@@ -84,6 +86,7 @@ class ExactBarWriter:
                 F.expr("min(first_seq) as first_seq"),
                 F.expr("max(last_seq) as last_seq"),
                 F.expr("sum(late) as late"),
+                F.expr("sum(kept) as kept"),
                 F.expr("bool_or(closed) as closed"),
             )
             .withColumn(
@@ -232,6 +235,60 @@ def batch_bars(
     return rows.where("first_seq is not null").select(*_shown(width, scale), F.col("last_seq").alias("seq"))
 
 
+def batch_counters(spark: SparkSession, path: str, batch_id: int, now=None, width: str = "1 minute") -> DataFrame:
+    """One row of what a micro-batch did: ticks received and dropped as late, bars finished, the
+    end of the newest of them, and how far ``now`` is past it in ms.
+
+    The numbers come from the folder of the micro-batch less what it took over from the one
+    before, not from accumulators, so a task that ran twice is not counted twice.
+    """
+    written = spark.read.schema(_PARTIAL + ", closed boolean, state string").parquet(f"{path}/log/batch={batch_id}")
+    done = (F.col("state") == "done") & F.col("first_seq").isNotNull()
+    shown = [
+        F.lit(1).alias("_sign"), (F.coalesce("kept", F.lit(0)) + F.coalesce("late", F.lit(0))).alias("_ticks"),
+        F.coalesce("late", F.lit(0)).alias("_late"), F.when(done, F.col("bar_start")).alias("_bar"),
+    ]
+    rows = written.select(*shown)
+    if batch_id > 0:
+        before = _batch(spark, path, batch_id - 1, "open").select(*shown[1:])
+        rows = rows.unionByName(before.select(F.lit(-1).alias("_sign"), "_ticks", "_late", F.lit(None).cast("timestamp").alias("_bar")))
+    end = F.max("_bar") + F.expr(f"interval {width}")
+    counted = rows.agg(
+        F.coalesce(F.sum(F.col("_sign") * F.col("_ticks")), F.lit(0)).cast("bigint").alias("ticks_received"),
+        F.coalesce(F.sum(F.col("_sign") * F.col("_late")), F.lit(0)).cast("bigint").alias("late_ticks_dropped"),
+        F.count("_bar").alias("bars_written"),
+        end.alias("last_bar_end"),
+    )
+    lag = lag_ms(F.lit(now).cast("timestamp"), F.col("last_bar_end"))
+    lag = F.when(F.col("last_bar_end").isNotNull() & F.lit(now is not None), lag)
+    return counted.select(F.lit(batch_id).cast("bigint").alias("batch"), "*", lag.alias("ingest_lag_ms"))
+
+
+@dataclass(frozen=True)
+class CountingWriter:
+    """An :class:`ExactBarWriter` that also keeps one row of counters per micro-batch.
+
+    Rows lie under ``path`` in ``batch=N`` and are overwritten when a micro-batch is run again.
+    ``now`` gives the time that lag is measured at by the number of the micro-batch.
+    """
+
+    bars: ExactBarWriter
+    path: str
+    now: Callable[[int], datetime] | None = None
+
+    def __call__(self, ticks: DataFrame, batch_id: int) -> None:
+        self.bars(ticks, batch_id)
+        now = self.now(batch_id) if self.now is not None else datetime.now(timezone.utc)
+        found = batch_counters(ticks.sparkSession, self.bars.path, batch_id, now, self.bars.width)
+        found.drop("batch").write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+
+def read_counters(spark: SparkSession, path: str) -> DataFrame:
+    """The counters of all micro-batches, with ``batch``."""
+    kinds = "ticks_received bigint, late_ticks_dropped bigint, bars_written bigint, last_bar_end timestamp, ingest_lag_ms double, batch bigint"
+    return spark.read.schema(kinds).parquet(path)
+
+
 def read_late_ticks(spark: SparkSession, path: str, *, flush_batch: int | None = None) -> DataFrame:
     """(source, symbol, late_ticks): all dropped ticks, also those of bars that never were."""
     late = _written(spark, path, flush_batch).groupBy(*_KEYS).agg(F.sum("late").alias("late_ticks"))
