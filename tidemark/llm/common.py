@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.folders import delete_folder
 from tidemark.session import work_dir
 
 #: The white space that separates words: space, tab, line feed, vertical tab, form feed, return.
@@ -32,14 +34,31 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor
 
 
+#: Shuffle files of a finished query are removed at once if this is set, and else when the driver collects garbage.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(frame: DataFrame, label: str) -> DataFrame:
     """The frame written once to the shared working folder and read again.
 
-    Later steps read files instead of repeating the plan, also after an executor is lost.
+    Later steps read files instead of repeating the plan, also after an executor is lost; so the
+    shuffle files of the write are removed with its end.
     """
-    path = work_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    spark = frame.sparkSession
+    path, before = work_dir(spark, label), spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before) if before is not None else spark.conf.unset(_CLEAN)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove staged tables that no later step reads."""
+    for table in tables:
+        for folder in {os.path.dirname(f) for f in table.inputFiles()}:
+            delete_folder(table.sparkSession, folder)
 
 
 def small_side(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
