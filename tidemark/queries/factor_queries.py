@@ -1,7 +1,7 @@
 """Covariance, principal component and residual queries.
 
 Over two symbols the eigenvectors have a closed form, so the same operators
-are also run on a pair and compared with SQL.
+are also run on a pair; over more, SQL gets them by squaring matrices.
 """
 
 from __future__ import annotations
@@ -20,9 +20,12 @@ from tidemark.operators.returns import log_returns, rolling_zscore
 from tidemark.panel import Panel, densify
 from tidemark.plans import live_snapshot
 from tidemark.queries import bindings as b
+from tidemark.queries import spectral_sql as spectral
 from tidemark.queries.panel_queries import WINDOW, _WEEK_RET, _WEEK_Z, _with, weekly_returns
 
 LOOKBACK = 120
+#: Returns in the hourly and in the daily snapshot.
+SNAP, SNAP_DAYS = 480, 24
 PAIR = b.BRANDS[:2]
 
 
@@ -82,13 +85,32 @@ def residuals_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _snapshot(spark: SparkSession, sf_dir: str) -> dict:
     hourly = bars(b.one_feed(spark, sf_dir), "1 hour")
-    return live_snapshot(hourly, b.KINDS, lookback=480, z_window=WINDOW)
+    return live_snapshot(hourly, b.KINDS, lookback=SNAP, z_window=WINDOW)
 
 
 def snapshot_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_snapshot(spark, sf_dir)["zscores"].long(), "value")
 
 
+def snapshot_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _snapshot(spark, sf_dir)["close"].long("close")
+
+
+def snapshot_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_snapshot(spark, sf_dir)["log_returns"].long(), "value")
+
+
+def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_snapshot(spark, sf_dir)["latest_zscore"], "value")
+
+
+def snapshot_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily, as only whole rows count and hours without a tick leave fewer than a lookback of them."""
+    daily = bars(b.one_feed(spark, sf_dir), "1 day")
+    found = live_snapshot(daily, b.KINDS, lookback=SNAP_DAYS, z_window=SNAP_DAYS // 2)
+    return _rounded(found["latest_residual_zscore"], "value")
+
+
 def snapshot_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _snapshot(spark, sf_dir)["explained_variance"]
     return _rounded(found, "explained_variance_ratio", "cumulative")
@@ -104,7 +126,11 @@ QUERIES = {
     "residual_zscore": residuals,
     "residual_zscore_latest": residuals_latest,
     "residual_zscore_pair": residuals_pair,
+    "live_snapshot_close": snapshot_close,
+    "live_snapshot_returns": snapshot_returns,
     "live_snapshot_zscores": snapshot_zscores,
+    "live_snapshot_latest": snapshot_latest,
+    "live_snapshot_residuals": snapshot_residuals,
     "live_snapshot_shares": snapshot_shares,
 }
 
@@ -134,6 +160,24 @@ ax AS (
 _LAST = f"ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW"
 _TRAIN = f"ROWS BETWEEN {LOOKBACK - 1} PRECEDING AND 1 PRECEDING"
 
+def _snapshot_sql(grain: str, returns: int) -> str:
+    """Dense closes, returns and z-scores of a snapshot."""
+    listed = ", ".join(f"('{s}', {i})" for i, s in enumerate(b.KINDS))
+    return b.ticks_sql(one=True) + b.flagged_sql(grain) + b.bars_sql(grain) + f""",
+uni AS (SELECT * FROM (VALUES {listed}) v(symbol, pos)),
+newest AS (SELECT DISTINCT bar_end FROM bars ORDER BY bar_end DESC LIMIT {returns + 1}),
+prices AS (
+  SELECT symbol, bar_end AS ts, close_fixed / 1e9 AS price FROM bars WHERE bar_end IN (SELECT bar_end FROM newest)),
+{b.DENSE_SQL}{b.returns_sql(len(b.KINDS))}{b.zscore_sql(WINDOW, "1e-12")}"""
+
+
+_SNAP = _snapshot_sql("hour", SNAP)
+
+
+def _recursive(*parts: str, select: str) -> str:
+    return _with(*parts, select=select).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 SQL = {
     "rolling_covariance": _with(
         _WEEK_RET,
@@ -175,13 +219,42 @@ sides AS (
   SELECT '{PAIR[1]}', ts, r, var, cos(t) FROM fit)
 SELECT symbol, ts, round(r * w / sqrt(var * w * w), 6) + 0.0 AS value FROM sides""",
     ),
+    "pca_beta_alpha": _recursive(
+        _WEEK_Z, spectral.scatter_sql("z", 25, _LAST, WINDOW), spectral.components_sql(25, 3),
+        select=spectral.beta_alpha_sql("z", 25, 3),
+    ),
+    "explained_variance": _recursive(
+        _WEEK_RET, spectral.scatter_sql("ret", 25, _LAST, WINDOW, "ord = (SELECT max(ord) FROM ret)"),
+        spectral.components_sql(25, 5), select=spectral.shares_sql(5),
+    ),
+    "residual_zscore": _recursive(
+        _WEEK_RET, spectral.scatter_sql("ret", 25, _TRAIN, LOOKBACK - 1), spectral.components_sql(25, 1),
+        select=spectral.residual_sql("ret", 25, LOOKBACK - 1),
+    ),
+    "residual_zscore_latest": _recursive(
+        _WEEK_RET, spectral.scatter_sql("ret", 25, _TRAIN, LOOKBACK - 1, "ord = (SELECT max(ord) FROM ret)"),
+        spectral.components_sql(25, 1), select=spectral.residual_sql("ret", 25, LOOKBACK - 1),
+    ),
+    "live_snapshot_close": _with(_SNAP, select="SELECT symbol, ts, price AS close FROM dense"),
+    "live_snapshot_returns": _with(_SNAP, select="SELECT symbol, ts, round(value, 6) + 0.0 AS value FROM ret"),
     "live_snapshot_zscores": _with(
-        b.ticks_sql(one=True) + b.flagged_sql("hour") + b.bars_sql("hour"),
-        select=f""", uni AS (SELECT * FROM (VALUES {", ".join(f"('{s}', {i})" for i, s in enumerate(b.KINDS))}) v(symbol, pos)),
-newest AS (SELECT DISTINCT bar_end FROM bars ORDER BY bar_end DESC LIMIT 481),
-prices AS (
-  SELECT symbol, bar_end AS ts, close_fixed / 1e9 AS price FROM bars WHERE bar_end IN (SELECT bar_end FROM newest)),
-{b.DENSE_SQL}{b.returns_sql(5)}{b.zscore_sql(WINDOW, "1e-12")}
-SELECT symbol, ts, round(value, 6) + 0.0 AS value FROM z WHERE ord >= {WINDOW - 1}""",
+        _SNAP, select=f"SELECT symbol, ts, round(value, 6) + 0.0 AS value FROM z WHERE ord >= {WINDOW - 1}"
+    ),
+    "live_snapshot_latest": _with(
+        _SNAP,
+        select=f"""SELECT symbol, ts, round(value, 6) + 0.0 AS value FROM z
+WHERE ord = (SELECT max(ord) FROM z WHERE ord >= {WINDOW - 1})""",
+    ),
+    "live_snapshot_residuals": _recursive(
+        _snapshot_sql("day", SNAP_DAYS),
+        spectral.scatter_sql(
+            "ret", 5, f"ROWS BETWEEN {SNAP_DAYS - 1} PRECEDING AND 1 PRECEDING", SNAP_DAYS - 1,
+            "ord = (SELECT max(ord) FROM ret)",
+        ),
+        spectral.components_sql(5, 1), select=spectral.residual_sql("ret", 5, SNAP_DAYS - 1),
+    ),
+    "live_snapshot_shares": _recursive(
+        _SNAP, spectral.scatter_sql("z", 5, _LAST, WINDOW, f"ord = (SELECT max(ord) FROM z) AND ord >= {2 * (WINDOW - 1)}"),
+        spectral.components_sql(5, 3), select=spectral.shares_sql(3),
     ),
 }
