@@ -116,6 +116,20 @@ def test_letters_only(text):
     assert values_of("the login kzqvwxjrtmbf") == []  # as prose: the stated exclusion
 
 
+def test_quotes_addresses_and_joined_words():
+    found = [(t[a:e]) for t in (
+        'secret "x9$kQ2!vLp"###', "token = `x9$kQ2!vLp`, then", r'pwd = "x9$\"kQ2!vLp"; next', 'password: x9$k"Q2!vLp',
+    ) for a, _, e, _ in secrets.Scanner().guessed(t)]
+    assert found == ["x9$kQ2!vLp", "x9$kQ2!vLp", r'x9$\"kQ2!vLp', 'x9$k"Q2!vLp']
+    for text in (
+        "login to http://example.com/path/here", "secret santa-party-december", "the secret ingredient-list-of-the-restaurant"
+    ):
+        assert not list(secrets.Scanner().guessed(text)), text
+    # after a sign both count
+    for value in ("kzqv-wxjr-tmbf", "https://hooks.example.com/T0/Zk9qLw2x"):
+        assert [x[:3] for x in secrets.Scanner().guessed(f"secret: {value}")] == [(8, 3, 8 + len(value))]
+
+
 def test_long_addresses():
     token = "".join(hashlib.sha256(bytes([i])).hexdigest().upper() for i in range(40))
     for user, value in (("x-token-auth", token[:300]), ("u" * 100, token[:300]), ("u" * 100_000, token)):

@@ -46,6 +46,9 @@ _VALUE = re.compile(r"[!-&(-+\x2d-~]+")
 #: character is read for two addresses.
 _ADDRESS = re.compile(r"://[^\s/:@]++:([^\s/:@]{4,}+)@")
 
+_PROSE = re.compile(r"[A-Z]?[a-z]+(?:[-/_][A-Z]?[a-z]+)*")
+_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://")
+
 #: Common parts of passwords, most frequent first; the rank is the number of guesses.
 COMMON_WORDS = (
     "password pass admin login welcome letmein master monkey dragon shadow sunshine princess football baseball "
@@ -205,12 +208,15 @@ class Scanner:
             # a context within a value that counts adds nothing
             if told[0] <= start < told[1]:
                 continue
+            quote = text[start - 1] if start else ""
+            if quote and quote in "\"`" and (closed := re.compile(rf"(?<!\\){quote}").search(text, start, end)):
+                end = closed.start()
             reach = end
             while end > start and text[end - 1] in "\"'`.,;:)>]}!?":
                 end -= 1
             value = text[start:end]
-            # prose follows credential words too: there a lone lower-case word is no value
-            if len(value) < 6 or not stated and value.isalpha() and (value.islower() or value.istitle()):
+            # prose follows credential words too: there a lone word, words joined and an address are no values
+            if len(value) < 6 or not stated and (_PROSE.fullmatch(value) or _SCHEME.match(value)):
                 continue
             cost = self.cost(value)
             if cost >= self.least:
